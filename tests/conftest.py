@@ -1,0 +1,10 @@
+import pytest
+
+from murmura.session import local_session
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = local_session(8, memory="6g")
+    yield session
+    session.stop()
