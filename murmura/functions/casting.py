@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 def nan_to_null(value: Column) -> Column:
     """NaN as NULL. Spark holds NaN > 0 to be true and lets it poison averages."""
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(value, F.lit(None).cast("double"))
 
 
 def to_double(value: Column) -> Column:

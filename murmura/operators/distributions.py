@@ -22,10 +22,31 @@ _QUARTILES = (0.0, 0.25, 0.5, 0.75, 1.0)
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """Distinct non-missing values per group with their number of rows, as ``(*by, v, n)``."""
-    kept = df.select(*by, number(df, value).alias("v")).filter(F.col("v").isNotNull())
+    kept = df.select(*by, number(df, value).alias("v"))
     for key in by:
         kept = kept.filter(F.col(key).isNotNull())
-    return kept.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("n"))
+    # Missing values go by their count of 0. A filter on the value itself would
+    # be pushed below its computation and compute a score from text twice.
+    return kept.groupBy(*by, "v").agg(F.count("v").alias("n")).filter(F.col("n") > 0)
+
+
+def _names(by: Sequence[str]) -> list[str]:
+    return [f"`{name}`" for name in by]
+
+
+def _slice(df: DataFrame, slices: int) -> DataFrame:
+    """Add ``slice``, the number of ``cuts`` below ``v``, by binary search.
+
+    One column per step: Spark keeps a projection that is used twice apart,
+    so the steps are computed once each, in generated code.
+    """
+    df = df.withColumn("slice", F.lit(0))
+    step = slices // 2
+    while step:
+        above = f"if(get(cuts, slice + {step - 1}) < v, {step}, 0)"
+        df = df.withColumn("slice", F.expr(f"slice + {above}"))
+        step //= 2
+    return df
 
 
 def quantiles_of_counts(
@@ -34,31 +55,24 @@ def quantiles_of_counts(
     """Exact quantiles with linear interpolation, as ``(*by, total, q)`` with ``q`` an array.
 
     A sketch proposes cut points that divide the distinct values of a group
-    into ``slices`` ranges of similar size. Row counts per range tell which
-    ranges hold the wanted ranks, and only those ranges are sorted. The cut
-    points decide how evenly the work is spread, never what the result is.
+    into ``slices`` (a power of two) ranges of similar size. Row counts per
+    range tell which ranges hold the wanted ranks, and only those ranges are
+    sorted. The cut points decide how evenly the work is spread, never what
+    the result is.
     """
     by = list(by)
-    fractions = [i / slices for i in range(1, slices)]
+    fractions = ", ".join(f"{i / slices}D" for i in range(1, slices))
     cuts = counts.groupBy(*by).agg(
-        F.percentile_approx("v", fractions, 20 * slices).alias("cuts"),
+        F.expr(f"percentile_approx(v, array({fractions}), {20 * slices})").alias("cuts"),
         F.sum("n").alias("total"),
     )
-    placed = salted_lookup(counts, cuts, by, ["v"]).withColumn(
-        "slice", F.size(F.filter("cuts", lambda c: c < F.col("v")))
-    )
+    placed = _slice(salted_lookup(counts, cuts, by, ["v"]), slices)
 
-    def position(p: float) -> Column:
-        return (F.col("total") - 1) * F.lit(float(p))
-
-    ranks = F.array_distinct(
-        F.flatten(
-            F.array(*[F.array(F.floor(position(p)) + 1, F.ceil(position(p)) + 1) for p in probs])
-        )
-    )
-
-    def wanted(before: Column, n: Column) -> Column:
-        return F.filter("ranks", lambda r: (r > before) & (r <= before + n))
+    # Ranks count from 1; a quantile lies between the two ranks next to it.
+    below = [f"floor((total - 1) * {float(p)}D) + 1" for p in probs]
+    above = [f"ceil((total - 1) * {float(p)}D) + 1" for p in probs]
+    part = [f"((total - 1) * {float(p)}D - floor((total - 1) * {float(p)}D))" for p in probs]
+    ranks = f"array_distinct(array({', '.join(below + above)}))"
 
     # At most ``slices`` rows per group from here on.
     earlier = W.partitionBy(*by).orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
@@ -66,30 +80,33 @@ def quantiles_of_counts(
         placed.groupBy(*by, "slice", "total")
         .agg(F.sum("n").alias("slice_n"))
         .withColumn("before", F.coalesce(F.sum("slice_n").over(earlier), F.lit(0)))
-        .withColumn("ranks", ranks)
-        .withColumn("ranks", wanted(F.col("before"), F.col("slice_n")))
-        .filter(F.size("ranks") > 0)
-        .select(*by, "slice", "before", "ranks")
+        .selectExpr(
+            *_names(by),
+            "slice",
+            "before",
+            f"filter({ranks}, r -> r > before AND r <= before + slice_n) AS ranks",
+        )
+        .filter("size(ranks) > 0")
     )
     in_slice = W.partitionBy(*by, "slice").orderBy("v")
     through = in_slice.rowsBetween(W.unboundedPreceding, W.currentRow)
     hits = (
         placed.drop("cuts")
         .join(targets, [*by, "slice"])
-        .withColumn("before", F.col("before") + F.sum("n").over(through) - F.col("n"))
-        .withColumn("rank", F.explode(wanted(F.col("before"), F.col("n"))))
+        .withColumn("upto", F.col("before") + F.sum("n").over(through))
+        .selectExpr(
+            *_names(by),
+            "total",
+            "v",
+            "explode(filter(ranks, r -> r > upto - n AND r <= upto)) AS rank",
+        )
     )
     found = hits.groupBy(*by).agg(
         F.max("total").alias("total"),
-        F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at"),
+        F.expr("map_from_entries(collect_list(struct(rank, v)))").alias("at"),
     )
-
-    def quantile(p: float) -> Column:
-        low = F.element_at("at", F.floor(position(p)) + 1)
-        high = F.element_at("at", F.ceil(position(p)) + 1)
-        return low + (high - low) * (position(p) - F.floor(position(p)))
-
-    return found.select(*by, "total", F.array(*[quantile(p) for p in probs]).alias("q"))
+    q = [f"at[{lo}] + (at[{hi}] - at[{lo}]) * {t}" for lo, hi, t in zip(below, above, part)]
+    return found.selectExpr(*_names(by), "total", f"array({', '.join(q)}) AS q")
 
 
 def exact_quantiles(
@@ -98,25 +115,25 @@ def exact_quantiles(
     return quantiles_of_counts(value_counts(df, value, by), by, probs, slices)
 
 
-def _quartile_columns() -> list[Column]:
+def _box(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     names = ("low", "q1", "median", "q3", "high")
-    return [F.col("q")[i].alias(name) for i, name in enumerate(names)]
+    quartiles = quantiles_of_counts(counts, by, _QUARTILES)
+    return quartiles.selectExpr(
+        *_names(by), "total AS n_total", *[f"q[{i}] AS {name}" for i, name in enumerate(names)]
+    )
 
 
 def _with_fences(counts: DataFrame, by: Sequence[str], reach: float) -> DataFrame:
-    """Values with the quartiles and the fences of their group."""
-    quartiles = quantiles_of_counts(counts, by, _QUARTILES).select(
-        *by, "total", *_quartile_columns()
+    """Values with the quartiles of their group and the flag ``outside`` the fences."""
+    fenced = salted_lookup(counts, _box(counts, by), list(by), ["v"])
+    low = f"q1 - {float(reach)}D * (q3 - q1)"
+    high = f"q3 + {float(reach)}D * (q3 - q1)"
+    return fenced.withColumns(
+        {
+            "beyond_low": F.expr(f"v < {low}"),
+            "beyond_high": F.expr(f"v > {high}"),
+        }
     )
-    spread = (F.col("q3") - F.col("q1")) * reach
-    fences = quartiles.withColumn("fence_low", F.col("q1") - spread).withColumn(
-        "fence_high", F.col("q3") + spread
-    )
-    return salted_lookup(counts, fences, list(by), ["v"])
-
-
-def _outside() -> Column:
-    return (F.col("v") < F.col("fence_low")) | (F.col("v") > F.col("fence_high"))
 
 
 def box_stats(
@@ -134,25 +151,31 @@ def box_stats(
     """
     counts = value_counts(df, value, by)
     if whisker == "minmax":
-        quartiles = quantiles_of_counts(counts, by, _QUARTILES)
-        named = quartiles.select(*by, F.col("total").alias("n"), *_quartile_columns())
-        return named.withColumnsRenamed({"low": "whisker_low", "high": "whisker_high"})
+        return _box(counts, by).withColumnsRenamed(
+            {"n_total": "n", "low": "whisker_low", "high": "whisker_high"}
+        )
     if whisker != "tukey":
         raise ValueError(f"whisker must be 'minmax' or 'tukey', not {whisker!r}")
-    box = ("q1", "median", "q3")
+    # An interpolated quartile may lie beyond every value inside the fence,
+    # and then the whisker ends at the box.
     return (
         _with_fences(counts, by, reach)
-        .groupBy(*by)
+        .groupBy(*by, "n_total", "q1", "median", "q3")
         .agg(
-            F.max("total").alias("n"),
-            F.min(F.when(F.col("v") >= F.col("fence_low"), F.col("v"))).alias("whisker_low"),
-            *[F.max(name).alias(name) for name in box],
-            F.max(F.when(F.col("v") <= F.col("fence_high"), F.col("v"))).alias("whisker_high"),
-            F.coalesce(F.sum(F.when(_outside(), F.col("n"))), F.lit(0)).alias("n_outliers"),
+            F.expr("min(if(beyond_low, null, v))").alias("least"),
+            F.expr("max(if(beyond_high, null, v))").alias("most"),
+            F.expr("sum(if(beyond_low OR beyond_high, n, 0))").alias("n_outliers"),
+        )
+        .selectExpr(
+            *_names(by),
+            "n_total AS n",
+            "least(least, q1) AS whisker_low",
+            "q1",
+            "median",
+            "q3",
+            "greatest(most, q3) AS whisker_high",
+            "n_outliers",
         )
-        # An interpolated quartile may lie beyond every value inside the fence.
-        .withColumn("whisker_low", F.least("whisker_low", "q1"))
-        .withColumn("whisker_high", F.greatest("whisker_high", "q3"))
     )
 
 
@@ -163,19 +186,21 @@ def box_outliers(
     reach: float = 1.5,
 ) -> DataFrame:
     """The values beyond the Tukey fences with their number of rows."""
-    fenced = _with_fences(value_counts(df, value, by), by, reach).filter(_outside())
-    return fenced.select(*by, F.col("v").alias(value), "n")
+    fenced = _with_fences(value_counts(df, value, by), by, reach)
+    return fenced.filter("beyond_low OR beyond_high").select(*by, F.col("v").alias(value), "n")
 
 
 def _bin(x: Column, low: Column, high: Column, bins: int) -> Column:
     """Index of the equal-width bin, the last one closed on the right.
 
-    A range of a single value is widened by one half on either side.
+    A range of a single value is widened by one half on either side. A
+    missing value has no bin.
     """
     flat = low == high
     start = F.when(flat, low - 0.5).otherwise(low)
     width = F.when(flat, 1.0).otherwise(high - low)
-    return F.least(F.floor((x - start) / width * bins), F.lit(bins - 1)).cast("int")
+    index = F.least(F.floor((x - start) / width * bins), F.lit(bins - 1))
+    return F.when(x.isNotNull(), index).cast("int")
 
 
 def histogram(
@@ -190,25 +215,23 @@ def histogram(
     x = number(df, value)
     if by:
         counts = value_counts(df, value, by)
+        # The total keeps ``n`` in the plan, and with it the shared exchange.
         ranges = counts.groupBy(*by).agg(
             F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("total")
         )
         binned = salted_lookup(counts, ranges, by, ["v"])
     else:
-        kept = df.select(x.alias("v")).filter(F.col("v").isNotNull())
+        kept = df.select(x.alias("v"))
         span = kept.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
         binned = kept.select(
             "v", F.lit(1).alias("n"), span.getField("lo").alias("lo"), span.getField("hi").alias("hi")
         )
     index = _bin(F.col("v"), F.col("lo"), F.col("hi"), bins)
-    cells = [
-        F.coalesce(F.sum(F.when(F.col("bin") == i, F.col("n"))), F.lit(0)).cast("bigint")
-        for i in range(bins)
-    ]
+    cells = ", ".join(f"coalesce(sum(if(bin = {i}, n, 0)), 0L)" for i in range(bins))
     summed = (
         binned.withColumn("bin", index)
         .groupBy(*by)
-        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.array(*cells).alias("cells"))
+        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.expr(f"array({cells})").alias("cells"))
     )
     start = F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo"))
     width = F.when(F.col("lo") == F.col("hi"), 1.0).otherwise(F.col("hi") - F.col("lo")) / bins
@@ -238,16 +261,17 @@ def binned_scatter(
 ) -> DataFrame:
     """Rows per cell of a ``bins`` x ``bins`` grid: a scatter plot that fits any table size."""
     keys = [] if by is None else [by]
-    kept = df.select(*keys, number(df, x).alias("x"), number(df, y).alias("y"))
-    for key in (*keys, "x", "y"):
-        kept = kept.filter(F.col(key).isNotNull())
+    kept = df.filter(F.col(by).isNotNull()) if keys else df
+    kept = kept.select(*keys, number(df, x).alias("x"), number(df, y).alias("y"))
+    both = F.col("x").isNotNull() & F.col("y").isNotNull()
     span = kept.agg(
-        F.struct(*[f(c).alias(f"{f.__name__}_{c}") for c in "xy" for f in (F.min, F.max)])
-    ).scalar()
+        *[f(F.when(both, F.col(c))).alias(f"{f.__name__}_{c}") for c in "xy" for f in (F.min, F.max)]
+    )
+    span = span.select(F.struct(*span.columns)).scalar()
     cells = [
         _bin(F.col(c), span.getField(f"min_{c}"), span.getField(f"max_{c}"), bins).alias(f"{c}_bin")
         for c in "xy"
     ]
-    return kept.select(*keys, *cells).groupBy(*keys, "x_bin", "y_bin").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    counted = kept.select(*keys, *cells).groupBy(*keys, "x_bin", "y_bin")
+    complete = F.col("x_bin").isNotNull() & F.col("y_bin").isNotNull()
+    return counted.agg(F.count_if(complete).alias("n")).filter(F.col("n") > 0)

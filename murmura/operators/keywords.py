@@ -13,10 +13,11 @@ from murmura.operators.skew import broadcast_if_small
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores for costly text work on an input of a few splits.
+    """Use all cores for costly text work on a scan of a few splits.
 
-    An input with at least as many splits as cores is left alone, so only
-    small tables are ever shuffled for this.
+    A scan with at least as many splits as cores is left alone, so only small
+    tables are ever shuffled for this. Meant for scans: asking a frame with a
+    shuffle for its partitions would run that shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
@@ -64,4 +65,5 @@ def top_keywords(
     order = [F.desc("freq"), F.asc("word")]
     if by is None:
         return counts.orderBy(*order).limit(k)
-    return top_k_per_group(counts, [by], order, k)
+    # Counted words are already spread by word; few candidates are left per task.
+    return top_k_per_group(counts, [by], order, k, parts=0)

@@ -27,8 +27,8 @@ def top_k_per_group(
     Spark limits each group within a task before it shuffles. What remains of
     a hot group is still ``k`` rows for every task, so the tasks are first
     merged in ``parts`` bundles and only the winners of the bundles meet in
-    one task. With many small groups, where there is little to cut, pass
-    ``parts=0`` to save that extra shuffle.
+    one task. Where that has little to cut, with many small groups or after an
+    aggregation, ``parts=0`` saves the extra shuffle.
     """
     by = list(by)
     for key in by:
@@ -94,7 +94,7 @@ def top_authors(
     order = [F.desc("posts"), F.asc(author)]
     if by is None:
         return activity.orderBy(*order).limit(k)
-    return top_k_per_group(activity, [by], order, k)
+    return top_k_per_group(activity, [by], order, k, parts=0)
 
 
 def dedupe_by_id(df: DataFrame, key: str = "id", latest: Sequence[Column] = ()) -> DataFrame:

@@ -19,7 +19,10 @@ def salted_lookup(
     and the single group row is copied to every part, so no task gets a whole
     hot group. Spark still broadcasts ``per_group`` where that is small.
     """
-    cut = rows.withColumn(_SALT, F.pmod(F.hash(*spread), F.lit(salts)))
+    # Never NULL, so that the join adds no filter below, where it would tell
+    # apart two reads of the same rows that could share one exchange.
+    salt = F.coalesce(F.pmod(F.hash(*spread), F.lit(salts)), F.lit(0))
+    cut = rows.withColumn(_SALT, salt)
     copies = per_group.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return cut.join(copies, [*by, _SALT]).drop(_SALT)
 

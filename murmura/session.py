@@ -21,16 +21,18 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", memory: str = "8g", partitions: int = 8) -> SparkSession:
+def local_session(
+    cores: int | str = "*", memory: str = "8g", conf: dict[str, str] | None = None
+) -> SparkSession:
     """A local session for tests and benchmarks; a cluster brings its own."""
-    spark = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName("murmura")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", memory)
-        .config("spark.sql.shuffle.partitions", str(partitions))
-        .getOrCreate()
-    )
+    settings = {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": memory,
+        "spark.sql.shuffle.partitions": "8",
+        **(conf or {}),
+    }
+    builder = SparkSession.builder.master(f"local[{cores}]").appName("murmura")
+    spark = builder.config(map=settings).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return tune(spark)

@@ -49,7 +49,7 @@ def read_comments(spark: SparkSession, path: str, missing_ok: bool = True) -> Da
 
 
 def write_landing(
-    df: DataFrame, path: str, skip_empty: bool = False, records_per_file: int = 500_000
+    df: DataFrame, path: str, skip_empty: bool = False, records_per_file: int = 100_000
 ) -> int:
     """Replace the landing at ``path`` and return the number of records written.
 

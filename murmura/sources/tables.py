@@ -6,13 +6,12 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from murmura.sources.scratch import stage
+from murmura.sources.scratch import fresh_path, stage
 
 _RUN = "run"
 
@@ -68,16 +67,17 @@ class CatalogStore:
     def append(self, df: DataFrame, table: str, run: str | None = None) -> DataFrame:
         name = self.prefix + table
         run = run or uuid.uuid4().hex
-        tagged = df.withColumn(_RUN, F.lit(run))
         if self.spark.catalog.tableExists(name):
-            # Replaces this run's partition only, so a repeated run adds nothing.
-            (
-                tagged.select(self.spark.table(name).columns)
-                .write.option("partitionOverwriteMode", "dynamic")
-                .mode("overwrite")
-                .insertInto(name)
+            # Names the partition, so that only this run's rows are replaced.
+            columns = ", ".join(f"`{c}`" for c in self.read(table).columns)
+            self.spark.sql(
+                f"INSERT OVERWRITE TABLE IDENTIFIER(:name) PARTITION ({_RUN} = :run) "
+                f"SELECT {columns} FROM {{rows}}",
+                {"name": name, "run": run},
+                rows=df,
             )
         else:
+            tagged = df.withColumn(_RUN, F.lit(run))
             tagged.write.format(self.source).partitionBy(_RUN).saveAsTable(name)
         return self.spark.table(name).filter(F.col(_RUN) == run).drop(_RUN)
 
@@ -178,27 +178,31 @@ def comments_sample(
 
 
 class Snapshot:
-    """Frames held from one refresh to the next and visible to SQL by name.
+    """Copies of frames, held from one refresh to the next and visible to SQL by name.
 
-    Cached blocks that are lost with an executor are computed again.
+    The copies are written rather than cached: a cache that is lost with an
+    executor, or dropped by a write to the source, would come back with newer
+    rows. Two slots are written in turn, so that readers of the last snapshot
+    can finish and disk use stays at two copies.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = fresh_path(spark, "snapshot")
+        self.refreshes = 0
         self.frames: dict[str, DataFrame] = {}
 
     def refresh(self, **frames: DataFrame) -> Snapshot:
-        # Release first: Spark keys its cache by plan, so an unchanged plan
-        # would otherwise go on showing the old rows.
-        self.release()
+        slot = f"{self.folder}/{self.refreshes % 2}"
+        held = {}
         for name, df in frames.items():
-            self.frames[name] = df.persist(StorageLevel.MEMORY_AND_DISK)
+            df.write.mode("overwrite").parquet(f"{slot}/{name}")
+            held[name] = self.spark.read.schema(df.schema).parquet(f"{slot}/{name}")
+        for name, df in held.items():
             df.createOrReplaceTempView(name)
+        self.frames = held
+        self.refreshes += 1
         return self
 
-    def release(self) -> None:
-        for df in self.frames.values():
-            df.unpersist()
-        self.frames = {}
-
     def __getitem__(self, name: str) -> DataFrame:
         return self.frames[name]

@@ -4,7 +4,26 @@ from murmura.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, memory="6g")
+def spark(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("spark")
+    session = local_session(
+        8,
+        memory="6g",
+        conf={
+            "spark.sql.warehouse.dir": str(folder / "warehouse"),
+            "spark.checkpoint.dir": str(folder / "scratch"),
+        },
+    )
     yield session
     session.stop()
+
+
+@pytest.fixture
+def rows():
+    """The rows of a frame as sorted tuples."""
+
+    def collect(df, *columns):
+        found = df.select(*columns) if columns else df
+        return sorted((tuple(r) for r in found.collect()), key=repr)
+
+    return collect

@@ -1,0 +1,130 @@
+import re
+from collections import Counter
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+
+from murmura.functions import STOPWORDS
+from murmura.operators.keywords import keyword_counts, spread, top_keywords
+from murmura.operators.scoring import (
+    lexicon_sentiment,
+    process_comments,
+    process_posts,
+    with_clean_text,
+    with_sentiment,
+)
+from murmura.operators.skew import broadcast_if_small
+from murmura.schemas import COMMENTS, COMMENTS_RAW, POSTS, POSTS_RAW
+
+DOCUMENTS = "/root/testdata/sf0.001/documents.parquet"
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.read.parquet(DOCUMENTS).select(
+        F.col("doc_id").alias("id"), F.substring("text", 1, 80).alias("title"),
+        F.col("text").alias("body"), F.col("source").alias("subreddit"),
+    )
+
+
+@pytest.fixture(scope="module")
+def counted(documents):
+    words = Counter()
+    for row in documents.collect():
+        text = f"{row['title']} {row['body']}".lower()
+        for word in re.findall(r"\b\w+\b", text):
+            if word not in STOPWORDS and len(word) > 3:
+                words[row["subreddit"], word] += 1
+    return words
+
+
+def test_keywords_match_python(documents, counted):
+    got = keyword_counts(documents, by="subreddit").collect()
+    assert {(r["subreddit"], r["word"]): r["freq"] for r in got} == dict(counted)
+
+
+def test_top_keywords_break_ties_by_word(documents, counted):
+    total = Counter()
+    for (_, word), n in counted.items():
+        total[word] += n
+    want = sorted(total.items(), key=lambda x: (-x[1], x[0]))[:20]
+    got = top_keywords(spread(documents, "id"), 20).collect()
+    assert [(r["word"], r["freq"]) for r in got] == want
+    assert top_keywords(documents, 3, by="subreddit").count() == 60
+
+
+def test_stopwords_as_a_frame(spark, documents):
+    listed = spark.createDataFrame([(w,) for w in STOPWORDS], "w string")
+    key = lambda df: {(r["subreddit"], r["word"], r["freq"]) for r in df.collect()}
+    assert key(keyword_counts(documents, by="subreddit", stopwords=listed)) == key(
+        keyword_counts(documents, by="subreddit")
+    )
+
+
+def test_missing_texts_have_no_words(spark, rows):
+    df = spark.createDataFrame([(None, None), ("solo title", None)], "title string, body string")
+    assert rows(keyword_counts(df)) == [("solo", 1), ("title", 1)]
+
+
+def test_large_tables_are_not_broadcast(spark):
+    df = spark.range(1000).selectExpr("cast(id AS string) AS word")
+    assert broadcast_if_small(df, max_bytes=10) is df
+    assert broadcast_if_small(df) is not df
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_lexicon_matches_brute_force(spark, documents, small, monkeypatch):
+    lexicon = {"that": -1.0, "with": 0.5, "from": 4.0, "have": 0.1}
+    if not small:
+        monkeypatch.setattr("murmura.operators.scoring.broadcast_if_small", lambda df: df)
+    got = lexicon_sentiment(documents, lexicon, "body")
+    want = {}
+    for row in documents.collect():
+        hits = [lexicon[w] for w in re.findall(r"\w+", row["body"].lower()) if w in lexicon]
+        mean = sum(hits) / len(hits) if hits else 0.0
+        want[row["id"]] = max(-1.0, min(1.0, mean))
+    assert {r["id"]: r["sentiment"] for r in got.collect()} == pytest.approx(want)
+
+
+def test_lexicon_of_empty_texts(spark, rows):
+    df = spark.createDataFrame([(1, ""), (2, None), (3, "good GOOD bad")], "id int, clean_body string")
+    lexicon = spark.createDataFrame(
+        [("good", 1.0), ("good", 0.5), ("bad", -1.0)], "word string, polarity double"
+    )
+    assert rows(lexicon_sentiment(df, lexicon)) == [(1, 0.0), (2, 0.0), (3, pytest.approx(1 / 6))]
+
+
+def test_process_posts(spark):
+    raw = spark.createDataFrame(
+        [
+            ("1", "t", " Good day ", "3.5", "a", "0", "s", "u", "2"),
+            ("2", "bad", None, "abc", "a", "0", "s", "u", "2.0"),
+            ("3", "t", "bad", "nan", "a", "0", "s", "u", ""),
+        ],
+        POSTS_RAW,
+    )
+    got = process_posts(raw)
+    assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in POSTS]
+    found = [(r["clean_body"], r["sentiment"], r["score"], r["num_comments"]) for r in got.collect()]
+    assert found == [("good day", 0.5, 3.5, 2), ("", 0.0, None, None), ("bad", -0.5, None, None)]
+    lenient = process_posts(raw, int_mode="lenient", text_cols=("title", "body")).collect()
+    assert [r["num_comments"] for r in lenient] == [2, 2, None]
+    assert [r["sentiment"] for r in lenient] == [0.5, -0.5, -0.5]
+
+
+def test_process_comments(spark):
+    raw = spark.createDataFrame([("1", "p", "GOODBYE", "a", "x", "0", "s")], COMMENTS_RAW)
+    got = process_comments(raw)
+    assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in COMMENTS]
+    assert got.first()["sentiment"] == 0.5 and got.first()["score"] is None
+
+
+def test_user_scorer_as_pandas_udf(spark):
+    @pandas_udf("double")
+    def shout(text: pd.Series) -> pd.Series:
+        return text.str.count("!").astype(float)
+
+    df = with_clean_text(spark.createDataFrame([("a!!",), (None,)], "body string"))
+    assert [r["sentiment"] for r in with_sentiment(df, shout).collect()] == [2.0, 0.0]
