@@ -80,11 +80,15 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_sentiment(with_clean_text(raw), scorer)
 
 
-def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Doubles rounded, since means of doubles depend on the order of addition."""
+def rounded(df: DataFrame) -> DataFrame:
+    """Doubles rounded, since means of doubles depend on the order of addition.
+
+    Rounded to 9 places first, which takes away that noise, and then to 6:
+    else the noise decides where a value lies half-way between two results.
+    """
     return df.select(
         [
-            F.round(c, places).alias(c) if kind == "double" else F.col(c)
+            F.round(F.round(c, 9), 6).alias(c) if kind == "double" else F.col(c)
             for c, kind in df.dtypes
         ]
     )

@@ -46,7 +46,7 @@ COMMENTS = f"""comments AS (
 
 def _share(side: str) -> str:
     total = "(count(*) FILTER (sentiment > 0) + count(*) FILTER (sentiment < 0) + count(*) FILTER (sentiment = 0))"
-    return f"round(count(*) FILTER (sentiment {side}) * 100.0::DOUBLE / {total}, 6)"
+    return f"round(round(count(*) FILTER (sentiment {side}) * 100.0::DOUBLE / {total}, 9), 6)"
 
 
 _SPLIT = f"""
@@ -60,10 +60,10 @@ _QUARTILES = """
 
 def _boxes(source: str, by: str, value: str) -> str:
     return f"""
-    SELECT {by}, count({value}) AS n, round(min({value}), 6) AS whisker_low,
-           round(quantile_cont({value}, 0.25), 6) AS q1,
-           round(quantile_cont({value}, 0.5), 6) AS median,
-           round(quantile_cont({value}, 0.75), 6) AS q3, round(max({value}), 6) AS whisker_high
+    SELECT {by}, count({value}) AS n, round(round(min({value}), 9), 6) AS whisker_low,
+           round(round(quantile_cont({value}, 0.25), 9), 6) AS q1,
+           round(round(quantile_cont({value}, 0.5), 9), 6) AS median,
+           round(round(quantile_cont({value}, 0.75), 9), 6) AS q3, round(round(max({value}), 9), 6) AS whisker_high
     FROM {source} GROUP BY {by}"""
 
 
@@ -149,28 +149,28 @@ ORACLES: dict[str, str] = {
     "sample_of_comments": f"""WITH {COMMENTS}
         SELECT id, post_id, ordinal, sentiment FROM comments ORDER BY post_id, ordinal LIMIT 2000""",
     "stats_by_quoted_name": f"""WITH {POSTS}
-        SELECT subreddit, round(avg(sentiment), 6) AS avg_sentiment,
-               round(avg(score), 6) AS avg_score, round(avg(sentiment), 6) AS by_position
+        SELECT subreddit, round(round(avg(sentiment), 9), 6) AS avg_sentiment,
+               round(round(avg(score), 9), 6) AS avg_score, round(round(avg(sentiment), 9), 6) AS by_position
         FROM posts GROUP BY subreddit""",
     "adhoc_sql": f"""WITH {POSTS}
         SELECT subreddit, count(*) AS n, max(score) AS best
         FROM posts WHERE sentiment < 0 GROUP BY subreddit""",
     # KPIs
     "group_stats": f"""WITH {POSTS}
-        SELECT subreddit, round(avg(score), 6) AS avg_score, round(avg(sentiment), 6) AS avg_sentiment,
-               round(avg(num_comments), 6) AS avg_num_comments
+        SELECT subreddit, round(round(avg(score), 9), 6) AS avg_score, round(round(avg(sentiment), 9), 6) AS avg_sentiment,
+               round(round(avg(num_comments), 9), 6) AS avg_num_comments
         FROM posts GROUP BY subreddit""",
     "mean_sentiment_ranking": f"""WITH {DOCS}
-        SELECT subreddit, round(avg(sentiment), 6) AS avg_sentiment FROM docs GROUP BY subreddit""",
+        SELECT subreddit, round(round(avg(sentiment), 9), 6) AS avg_sentiment FROM docs GROUP BY subreddit""",
     "global_kpis": f"""WITH {POSTS}
-        SELECT count(*) AS n_posts, round(avg(score), 6) AS avg_score,
-               round(avg(sentiment), 6) AS avg_sentiment,
+        SELECT count(*) AS n_posts, round(round(avg(score), 9), 6) AS avg_score,
+               round(round(avg(sentiment), 9), 6) AS avg_sentiment,
                (SELECT count(*) FROM conversations) AS n_comments
         FROM posts""",
     "group_kpis": f"""WITH {POSTS}
         SELECT subreddit, count(*) AS n_posts, max(score) AS max_score,
-               round(avg(sentiment), 6) AS avg_sentiment,
-               round(avg(CASE WHEN sentiment > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100, 6) AS positive_pct
+               round(round(avg(sentiment), 9), 6) AS avg_sentiment,
+               round(round(avg(CASE WHEN sentiment > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100, 9), 6) AS positive_pct
         FROM posts GROUP BY subreddit""",
     "sentiment_split": f"WITH {DOCS} SELECT {_SPLIT} FROM docs",
     "sentiment_split_per_group": f"""WITH {DOCS}
@@ -184,11 +184,11 @@ ORACLES: dict[str, str] = {
         SELECT date_trunc('hour', ts) AS hour_start, count(*) AS n
         FROM events WHERE event_type = 'click' GROUP BY ALL""",
     "hourly_mean": """
-        SELECT date_trunc('hour', ts) AS hour_start, event_type, round(avg(value), 6) AS avg_value
+        SELECT date_trunc('hour', ts) AS hour_start, event_type, round(round(avg(value), 9), 6) AS avg_value
         FROM events GROUP BY ALL""",
     "hour_of_day": """
         SELECT event_type, hour(ts)::INTEGER AS hour_of_day, count(*) AS n,
-               round(avg(value), 6) AS avg_value
+               round(round(avg(value), 9), 6) AS avg_value
         FROM events GROUP BY ALL""",
     "daily_volume": f"""WITH {POSTS}
         SELECT created_utc::DATE AS day, subreddit, count(*) AS n FROM posts GROUP BY ALL""",
@@ -200,10 +200,10 @@ ORACLES: dict[str, str] = {
     "box_minmax": _boxes("events", "event_type", "value"),
     "box_tukey": f"""WITH {_FENCES}
         SELECT event_type, count(value) AS n,
-               round(least(min(value) FILTER (value >= fence_low), any_value(q1)), 6) AS whisker_low,
-               round(any_value(q1), 6) AS q1, round(any_value(median), 6) AS median,
-               round(any_value(q3), 6) AS q3,
-               round(greatest(max(value) FILTER (value <= fence_high), any_value(q3)), 6) AS whisker_high,
+               round(round(least(min(value) FILTER (value >= fence_low), any_value(q1)), 9), 6) AS whisker_low,
+               round(round(any_value(q1), 9), 6) AS q1, round(round(any_value(median), 9), 6) AS median,
+               round(round(any_value(q3), 9), 6) AS q3,
+               round(round(greatest(max(value) FILTER (value <= fence_high), any_value(q3)), 9), 6) AS whisker_high,
                count(*) FILTER (value < fence_low OR value > fence_high) AS n_outliers
         FROM fenced GROUP BY event_type""",
     "box_outliers": f"""WITH {_FENCES}
@@ -213,16 +213,16 @@ ORACLES: dict[str, str] = {
     "histogram20": f"""
         WITH span AS (SELECT min(value) AS lo, max(value) AS hi FROM events),
         cells AS (SELECT {_bin("value", "lo", "hi")} AS bin, count(*) AS n FROM events, span GROUP BY ALL)
-        SELECT b.bin::INTEGER AS bin, round(lo + (hi - lo) / 20 * b.bin, 6) AS bin_low,
-               round(lo + (hi - lo) / 20 * (b.bin + 1), 6) AS bin_high, coalesce(cells.n, 0) AS n
+        SELECT b.bin::INTEGER AS bin, round(round(lo + (hi - lo) / 20 * b.bin, 9), 6) AS bin_low,
+               round(round(lo + (hi - lo) / 20 * (b.bin + 1), 9), 6) AS bin_high, coalesce(cells.n, 0) AS n
         FROM range(20) AS b(bin) CROSS JOIN span LEFT JOIN cells ON cells.bin = b.bin""",
     "histogram20_per_group": f"""
         WITH span AS (SELECT event_type, min(value) AS lo, max(value) AS hi FROM events GROUP BY event_type),
         cells AS (
             SELECT event_type, {_bin("value", "lo", "hi")} AS bin, count(*) AS n
             FROM events JOIN span USING (event_type) GROUP BY ALL)
-        SELECT span.event_type, b.bin::INTEGER AS bin, round(lo + (hi - lo) / 20 * b.bin, 6) AS bin_low,
-               round(lo + (hi - lo) / 20 * (b.bin + 1), 6) AS bin_high, coalesce(cells.n, 0) AS n
+        SELECT span.event_type, b.bin::INTEGER AS bin, round(round(lo + (hi - lo) / 20 * b.bin, 9), 6) AS bin_low,
+               round(round(lo + (hi - lo) / 20 * (b.bin + 1), 9), 6) AS bin_high, coalesce(cells.n, 0) AS n
         FROM range(20) AS b(bin) CROSS JOIN span
         LEFT JOIN cells ON cells.bin = b.bin AND cells.event_type = span.event_type""",
     "binned_scatter": f"""WITH {POSTS}, span AS (
@@ -249,7 +249,7 @@ ORACLES: dict[str, str] = {
         words AS (SELECT id, unnest(ws) AS word FROM lists),
         lexicon(word, polarity) AS (VALUES {_LEXICON}),
         scored AS (SELECT id, avg(polarity) AS s FROM words JOIN lexicon USING (word) GROUP BY id)
-        SELECT documents.doc_id AS id, round(coalesce(s, 0.0), 6) AS sentiment
+        SELECT documents.doc_id AS id, round(round(coalesce(s, 0.0), 9), 6) AS sentiment
         FROM documents LEFT JOIN scored ON scored.id = documents.doc_id""",
     # rankings
     "top_posts": f"""WITH {POSTS}
@@ -277,9 +277,9 @@ ORACLES: dict[str, str] = {
     # unions and copies
     "combined_landings": "SELECT doc_id, lang, source FROM documents",
     "appended_runs": """
-        SELECT event_id AS id, 2::BIGINT AS n, round(value + value, 6) AS total FROM events""",
+        SELECT event_id AS id, 2::BIGINT AS n, round(round(value + value, 9), 6) AS total FROM events""",
     "deduped_posts": f"""WITH {POSTS}
-        SELECT id, subreddit, round(score + 1, 6) AS score FROM posts""",
+        SELECT id, subreddit, round(round(score + 1, 9), 6) AS score FROM posts""",
     # comments
     "cohort_comments": f"""WITH {COMMENTS}
         SELECT id, post_id, body, sentiment FROM comments
@@ -292,7 +292,7 @@ ORACLES: dict[str, str] = {
         FROM conversations c JOIN documents d ON d.doc_id = c.conv_id GROUP BY d.source""",
     "comment_kpis": f"""WITH {COMMENTS}
         SELECT d.source AS subreddit, count(*) AS n_comments,
-               round(avg(c.sentiment), 6) AS avg_comment_sentiment
+               round(round(avg(c.sentiment), 9), 6) AS avg_comment_sentiment
         FROM comments c JOIN documents d ON d.doc_id = c.post_id GROUP BY d.source""",
     "top_comments": f"""WITH {COMMENTS}
         SELECT id, body, author, score, sentiment FROM comments
