@@ -103,7 +103,7 @@ def _csv(name: str) -> str:
 
 _CONTEXT_COLUMNS = ["title", "body", "subreddit", "score", "num_comments"]
 _CONTEXTS = f"""{POSTS}, ranked AS (
-    SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY created_utc DESC, id) AS rank
+    SELECT *, (row_number() OVER (PARTITION BY subreddit ORDER BY created_utc DESC, id))::INTEGER AS rank
     FROM posts),
 lines AS (
     SELECT subreddit, rank, {" || ',' || ".join(_csv(c) for c in _CONTEXT_COLUMNS)} AS line
@@ -236,12 +236,12 @@ ORACLES: dict[str, str] = {
     "keywords_per_group": f"""WITH {_words(_TITLED, "documents", 4, sorted(STOPWORDS), "source")},
         counted AS (SELECT source AS subreddit, word, count(*) AS freq FROM words GROUP BY ALL)
         SELECT subreddit, word, freq,
-               row_number() OVER (PARTITION BY subreddit ORDER BY freq DESC, word) AS rank
+               (row_number() OVER (PARTITION BY subreddit ORDER BY freq DESC, word))::INTEGER AS rank
         FROM counted QUALIFY rank <= 15""",
     "keywords_user_stopwords": f"""WITH {_words(_TITLED, "documents", 4, USER_STOPWORDS, "source")},
         counted AS (SELECT source AS subreddit, word, count(*) AS freq FROM words GROUP BY ALL)
         SELECT subreddit, word, freq,
-               row_number() OVER (PARTITION BY subreddit ORDER BY freq DESC, word) AS rank
+               (row_number() OVER (PARTITION BY subreddit ORDER BY freq DESC, word))::INTEGER AS rank
         FROM counted QUALIFY rank <= 20""",
     "lexicon_scores": f"""
         WITH lists AS MATERIALIZED (
@@ -256,7 +256,7 @@ ORACLES: dict[str, str] = {
         SELECT id, title, score, sentiment, num_comments FROM posts ORDER BY score DESC, id LIMIT 5""",
     "top_posts_per_group": f"""WITH {POSTS}
         SELECT subreddit, id, title, score, sentiment,
-               row_number() OVER (PARTITION BY subreddit ORDER BY score DESC, id) AS rank
+               (row_number() OVER (PARTITION BY subreddit ORDER BY score DESC, id))::INTEGER AS rank
         FROM posts QUALIFY rank <= 5""",
     "top_authors": """
         SELECT user_id AS author, count(*) AS posts FROM events
@@ -264,15 +264,15 @@ ORACLES: dict[str, str] = {
     "top_authors_per_group": f"""WITH {POSTS},
         activity AS (SELECT subreddit, author, count(*) AS posts FROM posts GROUP BY ALL)
         SELECT subreddit, author, posts,
-               row_number() OVER (PARTITION BY subreddit ORDER BY posts DESC, author) AS rank
+               (row_number() OVER (PARTITION BY subreddit ORDER BY posts DESC, author))::INTEGER AS rank
         FROM activity QUALIFY rank <= 10""",
     "latest_posts": f"""WITH {POSTS}
         SELECT id, title, subreddit, created_utc,
-               row_number() OVER (PARTITION BY subreddit ORDER BY created_utc DESC, id) AS rank
+               (row_number() OVER (PARTITION BY subreddit ORDER BY created_utc DESC, id))::INTEGER AS rank
         FROM posts QUALIFY rank <= 100""",
     "first_comments": f"""WITH {COMMENTS}
         SELECT id, post_id, author, ordinal,
-               row_number() OVER (PARTITION BY post_id ORDER BY ordinal) AS rank
+               (row_number() OVER (PARTITION BY post_id ORDER BY ordinal))::INTEGER AS rank
         FROM comments QUALIFY rank <= 5""",
     # unions and copies
     "combined_landings": "SELECT doc_id, lang, source FROM documents",
@@ -300,7 +300,7 @@ ORACLES: dict[str, str] = {
         ORDER BY score DESC, id LIMIT 10""",
     "top_comments_per_group": f"""WITH {COMMENTS}
         SELECT d.source AS subreddit, c.id, c.body, c.author, c.score, c.sentiment,
-               row_number() OVER (PARTITION BY d.source ORDER BY c.score DESC, c.id) AS rank
+               (row_number() OVER (PARTITION BY d.source ORDER BY c.score DESC, c.id))::INTEGER AS rank
         FROM comments c JOIN documents d ON d.doc_id = c.post_id QUALIFY rank <= 10""",
     # prompts
     "prompt_context": f"WITH {_CONTEXTS} SELECT subreddit, n_rows, context FROM contexts",
@@ -327,7 +327,19 @@ ORACLES: dict[str, str] = {
                subreddit, 'https://example.org/' || id AS url, num_comments::VARCHAR AS num_comments
         FROM posts""",
     "comments_csv_roundtrip": f"""WITH {COMMENTS}
-        SELECT id, post_id::VARCHAR AS post_id, body, author, score::VARCHAR AS score FROM comments""",
+        SELECT c.id, c.post_id::VARCHAR AS post_id, c.body, c.author, c.score::VARCHAR AS score,
+               d.source AS subreddit
+        FROM comments c LEFT JOIN documents d ON d.doc_id = c.post_id""",
+    "batch_job": f"""WITH {POSTS},
+        stats AS (
+            SELECT subreddit, round(round(avg(score), 9), 6) AS avg_score,
+                   round(round(avg(sentiment), 9), 6) AS avg_sentiment,
+                   round(round(avg(num_comments), 9), 6) AS avg_num_comments
+            FROM posts GROUP BY subreddit),
+        replies AS (
+            SELECT d.source AS subreddit, count(*) AS n_comments
+            FROM conversations c JOIN documents d ON d.doc_id = c.conv_id GROUP BY d.source)
+        SELECT * FROM stats LEFT JOIN replies USING (subreddit)""",
     "stream_clean_posts": f"""WITH {DOCS}
         SELECT id, clean_body, sentiment, length(body)::DOUBLE AS score FROM docs""",
     "stream_hourly_volume": """
@@ -335,4 +347,3 @@ ORACLES: dict[str, str] = {
         WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)
         GROUP BY ALL""",
 }
-ORACLES["batch_job"] = ORACLES["group_stats"]

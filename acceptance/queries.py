@@ -448,24 +448,30 @@ def posts_csv_roundtrip(spark, d):
     return read_posts(spark, path)
 
 
+def _raw_comments(spark, d):
+    tagged = cohorts.with_group(b.comments(spark, d), b.documents(spark, d))
+    return tagged.select(
+        "id", "post_id", "body", "author", "score", F.lit("0").alias("created_utc"), "subreddit"
+    )
+
+
 @query
 def comments_csv_roundtrip(spark, d):
-    raw = b.comments(spark, d).select(
-        "id", "post_id", "body", "author", "score", F.lit("0").alias("created_utc"), F.lit("x").alias("subreddit")
-    )
     path = fresh_path(spark, "landing") + "/comments.csv"
-    write_landing(raw, path)
-    return read_comments(spark, path).drop("created_utc", "subreddit")
+    write_landing(_raw_comments(spark, d), path)
+    return read_comments(spark, path).drop("created_utc")
 
 
 @query
 def batch_job(spark, d):
-    """CSV landing to processed table to statistics, end to end."""
+    """CSV landing to processed tables to statistics, end to end."""
     landing = fresh_path(spark, "landing")
     write_landing(_raw_posts(spark, d), f"{landing}/posts.csv")
+    write_landing(_raw_comments(spark, d), f"{landing}/comments.csv")
     store = FolderStore(spark, fresh_path(spark, "tables"))
     run_job(spark, landing, store, b.scorer)
-    return store.read("stats")
+    replies = store.read("comments").groupBy("subreddit").agg(F.count(F.lit(1)).alias("n_comments"))
+    return store.read("stats").join(replies, "subreddit", "left")
 
 
 @query

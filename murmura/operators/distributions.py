@@ -34,6 +34,27 @@ def _names(by: Sequence[str]) -> list[str]:
     return [f"`{name}`" for name in by]
 
 
+def _cuts(counts: DataFrame, by: Sequence[str], slices: int) -> DataFrame:
+    """Cut points per group that divide its distinct values, as ``(*by, cuts, total)``.
+
+    The values are dealt by hash into ``slices - 1`` lots, and the one with
+    the least hash of each lot becomes a cut: a random sample, but always the
+    same one. A task that is run again after an executor was lost must not
+    come to other cuts than the rest of the query, as it would with a sketch
+    that depends on the order of its input. (On a number the hash is one to
+    one, so there are no ties.)
+    """
+    lots = counts.withColumns(
+        {"hash": F.xxhash64("v"), "lot": F.pmod(F.hash("v"), F.lit(slices - 1))}
+    )
+    sample = lots.groupBy(*by, "lot").agg(
+        F.min_by("v", "hash").alias("cut"), F.sum("n").alias("n")
+    )
+    return sample.groupBy(*by).agg(
+        F.sort_array(F.collect_list("cut")).alias("cuts"), F.sum("n").alias("total")
+    )
+
+
 def _slice(df: DataFrame, slices: int) -> DataFrame:
     """Add ``slice``, the number of ``cuts`` below ``v``, by binary search.
 
@@ -54,19 +75,13 @@ def quantiles_of_counts(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, as ``(*by, total, q)`` with ``q`` an array.
 
-    A sketch proposes cut points that divide the distinct values of a group
-    into ``slices`` (a power of two) ranges of similar size. Row counts per
-    range tell which ranges hold the wanted ranks, and only those ranges are
-    sorted. The cut points decide how evenly the work is spread, never what
-    the result is.
+    Cut points divide the distinct values of a group into ``slices`` (a power
+    of two) ranges. Row counts per range tell which ranges hold the wanted
+    ranks, and only those ranges are sorted. The cut points decide how evenly
+    the work is spread, never what the result is.
     """
     by = list(by)
-    fractions = ", ".join(f"{i / slices}D" for i in range(1, slices))
-    cuts = counts.groupBy(*by).agg(
-        F.expr(f"percentile_approx(v, array({fractions}), {20 * slices})").alias("cuts"),
-        F.sum("n").alias("total"),
-    )
-    placed = _slice(salted_lookup(counts, cuts, by, ["v"]), slices)
+    placed = _slice(salted_lookup(counts, _cuts(counts, by, slices), by, ["v"]), slices)
 
     # Ranks count from 1; a quantile lies between the two ranks next to it.
     below = [f"floor((total - 1) * {float(p)}D) + 1" for p in probs]

@@ -7,8 +7,7 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from murmura.functions import keyword_sentiment
 from murmura.operators.kpis import group_stats
@@ -28,13 +27,6 @@ class JobResult:
     comments: int
 
 
-def _append(df: DataFrame, store: Store, table: str, run: str | None) -> tuple[DataFrame, int]:
-    """Append and count in one pass."""
-    seen = Observation()
-    rows = store.append(df.observe(seen, F.count(F.lit(1)).alias("rows")), table, run)
-    return rows, seen.get["rows"]
-
-
 def run_job(
     spark: SparkSession,
     landing: str,
@@ -46,8 +38,8 @@ def run_job(
     """Process the landing folder's ``posts.csv`` and ``comments.csv`` into ``store``.
 
     Posts and comments are appended, statistics of this run's posts replace
-    the earlier ones. The statistics read the numbers just written, so that
-    texts are parsed and scored once. Posts and comments are independent: no
+    the earlier ones. Statistics and row counts read the columns just written,
+    so that texts are parsed and scored once. Posts and comments are independent: no
     posts does not mean no comments. Errors surface to the caller.
     """
     n_posts = n_comments = 0
@@ -55,13 +47,14 @@ def run_job(
     if posts.isEmpty():
         log.warning("no posts in %s", landing)
     else:
-        written, n_posts = _append(process_posts(posts, scorer, int_mode=int_mode), store, "posts", run)
+        written = store.append(process_posts(posts, scorer, int_mode=int_mode), "posts", run)
         store.replace(group_stats(written), "stats")
+        n_posts = written.count()
     comments = read_comments(spark, f"{landing}/comments.csv")
     if comments.isEmpty():
         log.warning("no comments in %s", landing)
     else:
-        _, n_comments = _append(process_comments(comments, scorer), store, "comments", run)
+        n_comments = store.append(process_comments(comments, scorer), "comments", run).count()
     return JobResult(n_posts, n_comments)
 
 

@@ -31,6 +31,21 @@ def test_quantiles_are_exact(spark, groups, slices):
         assert r["total"] == len(groups[r["g"]])
 
 
+def test_cuts_depend_on_the_values_alone(spark, groups):
+    """Whatever a lost and repeated task reads first, the query keeps its cuts."""
+    rows = [("hot", float(v)) for v in np.random.default_rng(1).normal(size=20000)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    found = []
+    for order in (df.repartition(3), df.orderBy("x").repartition(11, "x"), df.unionAll(df)):
+        counts = d.value_counts(order, "x", ["g"])
+        found.append(d._cuts(counts, ["g"], 16).first()["cuts"])
+    assert found[0] == found[1] == found[2] and len(found[0]) == 15
+    shares = np.diff(np.searchsorted(np.sort([v for _, v in rows]), found[0]))
+    assert shares.max() < 20000 * 0.4
+    got = d.exact_quantiles(df, "x", ["g"], [0.5], 16).first()["q"]
+    np.testing.assert_allclose(got, [np.median([v for _, v in rows])])
+
+
 def test_quantiles_skip_missing_values_and_groups(spark):
     nan = float("nan")
     rows = [("a", 1.0), ("a", None), ("a", nan), ("a", 3.0), (None, 5.0), ("b", None)]
