@@ -134,12 +134,12 @@ def sample_of_comments(spark, d):
 @query
 def stats_by_quoted_name(spark, d):
     stats = kpis.group_stats(b.posts(spark, d), plain_names=False)
-    sql = "SELECT subreddit, `avg(sentiment)` AS avg_sentiment, `avg(score)` AS avg_score FROM stats"
-    found = run_sql(spark, sql, {"stats": stats})
-    by_position = resolve_column(stats, "no_such_name", 2)
-    return found.join(
-        stats.select("subreddit", F.col(f"`{by_position}`").alias("by_position")), "subreddit"
-    )
+    sql = f"""
+        SELECT subreddit, `avg(sentiment)` AS avg_sentiment, `avg(score)` AS avg_score,
+               `{resolve_column(stats, "no_such_name", 2)}` AS by_position
+        FROM stats
+    """
+    return run_sql(spark, sql, {"stats": stats})
 
 
 @query

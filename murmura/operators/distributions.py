@@ -238,9 +238,7 @@ def histogram(
     else:
         kept = df.select(x.alias("v"))
         span = kept.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
-        binned = kept.select(
-            "v", F.lit(1).alias("n"), span.getField("lo").alias("lo"), span.getField("hi").alias("hi")
-        )
+        binned = kept.select("v", F.lit(1).alias("n"), span.alias("span")).select("v", "n", "span.*")
     index = _bin(F.col("v"), F.col("lo"), F.col("hi"), bins)
     cells = ", ".join(f"coalesce(sum(if(bin = {i}, n, 0)), 0L)" for i in range(bins))
     summed = (
@@ -282,11 +280,11 @@ def binned_scatter(
     span = kept.agg(
         *[f(F.when(both, F.col(c))).alias(f"{f.__name__}_{c}") for c in "xy" for f in (F.min, F.max)]
     )
-    span = span.select(F.struct(*span.columns)).scalar()
+    ranged = kept.withColumn("span", span.select(F.struct(*span.columns)).scalar())
     cells = [
-        _bin(F.col(c), span.getField(f"min_{c}"), span.getField(f"max_{c}"), bins).alias(f"{c}_bin")
+        _bin(F.col(c), F.col(f"span.min_{c}"), F.col(f"span.max_{c}"), bins).alias(f"{c}_bin")
         for c in "xy"
     ]
-    counted = kept.select(*keys, *cells).groupBy(*keys, "x_bin", "y_bin")
+    counted = ranged.select(*keys, *cells).groupBy(*keys, "x_bin", "y_bin")
     complete = F.col("x_bin").isNotNull() & F.col("y_bin").isNotNull()
     return counted.agg(F.count_if(complete).alias("n")).filter(F.col("n") > 0)
