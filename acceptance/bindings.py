@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from murmura.functions import keyword_sentiment
 from murmura.operators.scoring import with_clean_text, with_sentiment
+from murmura.operators.skew import spread
 
 POSITIVE, NEGATIVE = ["with"], ["that"]
 
@@ -35,7 +36,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts as far as the text alone tells: no time, score or author."""
-    raw = table(spark, sf_dir, "documents").select(
+    raw = spread(table(spark, sf_dir, "documents"), "doc_id").select(
         F.col("doc_id").alias("id"),
         F.substring("text", 1, 80).alias("title"),
         F.col("text").alias("body"),

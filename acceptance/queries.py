@@ -268,24 +268,24 @@ def binned_scatter(spark, d):
 
 @query
 def keywords_top20(spark, d):
-    return keywords.top_keywords(keywords.spread(b.documents(spark, d), "id"), 20)
+    return keywords.top_keywords(b.documents(spark, d), 20)
 
 
 @query
 def keywords_per_group(spark, d):
-    return keywords.top_keywords(keywords.spread(b.documents(spark, d), "id"), 15, by="subreddit")
+    return keywords.top_keywords(b.documents(spark, d), 15, by="subreddit")
 
 
 @query
 def keywords_user_stopwords(spark, d):
     unwanted = spark.createDataFrame([(w,) for w in USER_STOPWORDS], "word string")
-    docs = keywords.spread(b.documents(spark, d), "id")
+    docs = b.documents(spark, d)
     return keywords.top_keywords(docs, 20, by="subreddit", stopwords=unwanted)
 
 
 @query
 def lexicon_scores(spark, d):
-    return lexicon_sentiment(keywords.spread(b.documents(spark, d), "id"), LEXICON)
+    return lexicon_sentiment(b.documents(spark, d), LEXICON)
 
 
 # --- rankings --------------------------------------------------------------

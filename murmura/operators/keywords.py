@@ -12,17 +12,6 @@ from murmura.operators.ranking import top_k_per_group
 from murmura.operators.skew import broadcast_if_small
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores for costly text work on a scan of a few splits.
-
-    A scan with at least as many splits as cores is left alone, so only small
-    tables are ever shuffled for this. Meant for scans: asking a frame with a
-    shuffle for its partitions would run that shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def keyword_counts(
     df: DataFrame,
     text_cols: Sequence[str] = ("title", "body"),

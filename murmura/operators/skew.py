@@ -1,4 +1,4 @@
-"""Joins that hold up when sizes are very uneven."""
+"""Joins and scans that hold up when sizes are very uneven."""
 
 from __future__ import annotations
 
@@ -36,3 +36,14 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
     size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
     measured = df.agg(size.alias("bytes")).first()["bytes"] or 0
     return F.broadcast(df) if measured <= max_bytes else df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores for costly text work on a scan of a few splits.
+
+    A scan with at least as many splits as cores is left alone, so only small
+    tables are ever shuffled for this. Meant for scans: asking a frame with a
+    shuffle for its partitions would run that shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from murmura.functions import STOPWORDS
-from murmura.operators.keywords import keyword_counts, spread, top_keywords
+from murmura.operators.keywords import keyword_counts, top_keywords
 from murmura.operators.scoring import (
     lexicon_sentiment,
     process_comments,
@@ -15,7 +15,7 @@ from murmura.operators.scoring import (
     with_clean_text,
     with_sentiment,
 )
-from murmura.operators.skew import broadcast_if_small
+from murmura.operators.skew import broadcast_if_small, spread
 from murmura.schemas import COMMENTS, COMMENTS_RAW, POSTS, POSTS_RAW
 
 DOCUMENTS = "/root/testdata/sf0.001/documents.parquet"
