@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 from pyspark.sql.window import Window as W
 
 from murmura.functions import in_order_desc, utc
@@ -57,7 +58,8 @@ def first_k_per_parent(
     comments: DataFrame, k: int = 5, parent: str = "post_id", ordinal: str = "ordinal"
 ) -> DataFrame:
     """The first ``k`` comments of every post in their given order; 0 gives none."""
-    return top_k_per_group(comments, [parent], [F.asc(ordinal)], k, parts=0)
+    ties = [F.asc("id")] if "id" in comments.columns else []
+    return top_k_per_group(comments, [parent], [F.asc(ordinal), *ties], k, parts=0)
 
 
 def group_sample(
@@ -103,6 +105,8 @@ def dedupe_by_id(df: DataFrame, key: str = "id", latest: Sequence[Column] = ())
     Within each task all but one copy go before the shuffle, so copies of one
     id never meet in great numbers. Rows without an id are kept as they are.
     """
-    order = list(latest) or [F.asc(c) for c in df.columns]
+    # Copies that are equally late are told apart by their content.
+    content = [F.asc(f.name) for f in df.schema if not isinstance(f.dataType, MapType)]
+    order = [*latest, *content]
     unique = top_k_per_group(df, [key], order, 1, rank="_copy", parts=0).drop("_copy")
     return unique.unionByName(df.filter(F.col(key).isNull()))

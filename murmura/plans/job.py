@@ -7,7 +7,7 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from murmura.functions import keyword_sentiment
 from murmura.operators.kpis import group_stats
@@ -34,27 +34,38 @@ def run_job(
     scorer: Scorer = keyword_sentiment,
     int_mode: str = "strict",
     run: str | None = None,
+    sort_by: str | None = "subreddit",
 ) -> JobResult:
     """Process the landing folder's ``posts.csv`` and ``comments.csv`` into ``store``.
 
     Posts and comments are appended, statistics of this run's posts replace
     the earlier ones. Statistics and row counts read the columns just written,
-    so that texts are parsed and scored once. Posts and comments are independent: no
-    posts does not mean no comments. Errors surface to the caller.
+    so that texts are parsed and scored once. Posts and comments are
+    independent: no posts does not mean no comments. Errors surface to the
+    caller.
+
+    Each task sorts its rows by ``sort_by`` before it writes them. That costs
+    no shuffle, and lets a filter on the group skip most of every file.
     """
+
+    def sorted_rows(df: DataFrame) -> DataFrame:
+        return df if sort_by is None else df.sortWithinPartitions(sort_by)
+
     n_posts = n_comments = 0
     posts = read_posts(spark, f"{landing}/posts.csv")
     if posts.isEmpty():
         log.warning("no posts in %s", landing)
     else:
-        written = store.append(process_posts(posts, scorer, int_mode=int_mode), "posts", run)
+        rows = sorted_rows(process_posts(posts, scorer, int_mode=int_mode))
+        written = store.append(rows, "posts", run)
         store.replace(group_stats(written), "stats")
         n_posts = written.count()
     comments = read_comments(spark, f"{landing}/comments.csv")
     if comments.isEmpty():
         log.warning("no comments in %s", landing)
     else:
-        n_comments = store.append(process_comments(comments, scorer), "comments", run).count()
+        rows = sorted_rows(process_comments(comments, scorer))
+        n_comments = store.append(rows, "comments", run).count()
     return JobResult(n_posts, n_comments)
 
 

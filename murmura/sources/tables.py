@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -16,6 +17,14 @@ from murmura.sources.scratch import fresh_path, stage
 _RUN = "run"
 
 
+def _run_name(run: str | None) -> str:
+    """A name that is safe as part of a path on any file system."""
+    name = run or uuid.uuid4().hex
+    if not re.fullmatch(r"[\w.-]+", name, re.ASCII):
+        raise ValueError(f"run may hold letters, digits, '_', '.' and '-', not {name!r}")
+    return name
+
+
 class FolderStore:
     """Parquet tables under one folder of any Hadoop file system.
 
@@ -32,7 +41,7 @@ class FolderStore:
 
     def append(self, df: DataFrame, table: str, run: str | None = None) -> DataFrame:
         """Append ``df`` and return a frame that reads back the appended rows only."""
-        path = f"{self._path(table)}/{_RUN}={run or uuid.uuid4().hex}"
+        path = f"{self._path(table)}/{_RUN}={_run_name(run)}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -66,7 +75,7 @@ class CatalogStore:
 
     def append(self, df: DataFrame, table: str, run: str | None = None) -> DataFrame:
         name = self.prefix + table
-        run = run or uuid.uuid4().hex
+        run = _run_name(run)
         if self.spark.catalog.tableExists(name):
             # Names the partition, so that only this run's rows are replaced.
             columns = ", ".join(f"`{c}`" for c in self.read(table).columns)

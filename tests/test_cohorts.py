@@ -83,3 +83,29 @@ def test_a_hot_post_counts_in_full(spark, rows):
         post = 7 if i % 3 == 0 else i % 30
         want[f"g{post % 3}"] = want.get(f"g{post % 3}", 0) + 1
     assert rows(c.comment_kpis(posts, comments)) == [(g, n, 0.5) for g, n in sorted(want.items())]
+
+
+@pytest.fixture
+def shuffle_joins_with_low_skew_bounds(spark):
+    wanted = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_a_hot_post_is_split_in_row_level_joins(spark, shuffle_joins_with_low_skew_bounds):
+    posts = spark.range(2000).selectExpr("id", "concat('g', id % 3) AS subreddit")
+    comments = spark.range(200000).selectExpr(
+        "id", "if(id % 3 = 0, 7, id % 2000) AS post_id", "uuid() AS body"
+    )
+    for df in (c.cohort_comments(posts, comments), c.with_group(comments, posts)):
+        assert len(df.collect()) == 200000
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()

@@ -84,3 +84,11 @@ def test_dedupe_by_id(spark, rows):
     df = spark.createDataFrame(copies + [(8, 1, "x"), (None, 1, "y"), (None, 1, "y")], "id int, load int, v string")
     got = r.dedupe_by_id(df.repartition(5), latest=[F.desc("load")])
     assert rows(got) == sorted([(7, 499, "v499"), (8, 1, "x"), (None, 1, "y"), (None, 1, "y")], key=repr)
+
+
+def test_equally_late_copies_are_resolved_by_content(spark):
+    df = spark.createDataFrame([(1, 9, v) for v in "cab"], "id int, load int, v string")
+    found = {
+        r.dedupe_by_id(df.repartition(n), latest=[F.desc("load")]).first()["v"] for n in (1, 2, 5)
+    }
+    assert found == {"a"}

@@ -88,6 +88,8 @@ def test_folder_store(spark, tmp_path, rows):
     assert rows(store.read("t")) == [(1,), (2,)]
     store.append(numbers(spark, 2), "t")
     assert rows(store.read("t", schema)) == [(1,), (2,), (2,)]
+    with pytest.raises(ValueError):
+        store.append(numbers(spark, 2), "t", "../r3")
     store.replace(numbers(spark, 5), "s")
     assert rows(store.replace(numbers(spark, 6), "s")) == [(6,)]
     store.reset({"t": schema, "s": schema})
