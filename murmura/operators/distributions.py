@@ -34,9 +34,12 @@ def _names(by: Sequence[str]) -> list[str]:
     return [f"`{name}`" for name in by]
 
 
-def _cuts(counts: DataFrame, by: Sequence[str], slices: int) -> DataFrame:
+def _cuts(counts: DataFrame, by: Sequence[str], slices: int, slice_above: int) -> DataFrame:
     """Cut points per group that divide its distinct values, as ``(*by, cuts, total)``.
 
+    Groups of up to ``slice_above`` distinct values stay in one piece and get
+    no cuts, which keeps this table small.
+
     The values are dealt by hash into ``slices - 1`` lots, and the one with
     the least hash of each lot becomes a cut: a random sample, but always the
     same one. A task that is run again after an executor was lost must not
@@ -48,10 +51,14 @@ def _cuts(counts: DataFrame, by: Sequence[str], slices: int) -> DataFrame:
         {"hash": F.xxhash64("v"), "lot": F.pmod(F.hash("v"), F.lit(slices - 1))}
     )
     sample = lots.groupBy(*by, "lot").agg(
-        F.min_by("v", "hash").alias("cut"), F.sum("n").alias("n")
+        F.min_by("v", "hash").alias("cut"),
+        F.count(F.lit(1)).alias("distinct"),
+        F.sum("n").alias("n"),
     )
+    cuts = F.sort_array(F.collect_list("cut"))
     return sample.groupBy(*by).agg(
-        F.sort_array(F.collect_list("cut")).alias("cuts"), F.sum("n").alias("total")
+        F.when(F.sum("distinct") > slice_above, cuts).otherwise(F.array()).alias("cuts"),
+        F.sum("n").alias("total"),
     )
 
 
@@ -71,17 +78,22 @@ def _slice(df: DataFrame, slices: int) -> DataFrame:
 
 
 def quantiles_of_counts(
-    counts: DataFrame, by: Sequence[str], probs: Sequence[float], slices: int = 64
+    counts: DataFrame,
+    by: Sequence[str],
+    probs: Sequence[float],
+    slices: int = 64,
+    slice_above: int = 100_000,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, as ``(*by, total, q)`` with ``q`` an array.
 
-    Cut points divide the distinct values of a group into ``slices`` (a power
-    of two) ranges. Row counts per range tell which ranges hold the wanted
+    Cut points divide the values of a group with more than ``slice_above``
+    distinct ones into ``slices`` (a power of two) ranges. Row counts per range tell which ranges hold the wanted
     ranks, and only those ranges are sorted. The cut points decide how evenly
     the work is spread, never what the result is.
     """
     by = list(by)
-    placed = _slice(salted_lookup(counts, _cuts(counts, by, slices), by, ["v"]), slices)
+    cuts = _cuts(counts, by, slices, slice_above)
+    placed = _slice(salted_lookup(counts, cuts, by, ["v"]), slices)
 
     # Ranks count from 1; a quantile lies between the two ranks next to it.
     below = [f"floor((total - 1) * {float(p)}D) + 1" for p in probs]
@@ -125,9 +137,14 @@ def quantiles_of_counts(
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, by: Sequence[str], probs: Sequence[float], slices: int = 64
+    df: DataFrame,
+    value: str,
+    by: Sequence[str],
+    probs: Sequence[float],
+    slices: int = 64,
+    slice_above: int = 100_000,
 ) -> DataFrame:
-    return quantiles_of_counts(value_counts(df, value, by), by, probs, slices)
+    return quantiles_of_counts(value_counts(df, value, by), by, probs, slices, slice_above)
 
 
 def _box(counts: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -21,10 +21,11 @@ def groups():
     }
 
 
-@pytest.mark.parametrize("slices", [2, 8, 64])
-def test_quantiles_are_exact(spark, groups, slices):
+@pytest.mark.parametrize("slices, slice_above", [(2, 0), (8, 100), (64, 0), (64, 10**6)])
+def test_quantiles_are_exact(spark, groups, slices, slice_above):
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    got = d.exact_quantiles(frame(spark, groups), "x", ["g"], probs, slices).collect()
+    df = frame(spark, groups)
+    got = d.exact_quantiles(df, "x", ["g"], probs, slices, slice_above).collect()
     assert {r["g"] for r in got} == set(groups)
     for r in got:
         np.testing.assert_allclose(r["q"], np.quantile(groups[r["g"]], probs), rtol=1e-12)
@@ -38,11 +39,11 @@ def test_cuts_depend_on_the_values_alone(spark, groups):
     found = []
     for order in (df.repartition(3), df.orderBy("x").repartition(11, "x"), df.unionAll(df)):
         counts = d.value_counts(order, "x", ["g"])
-        found.append(d._cuts(counts, ["g"], 16).first()["cuts"])
+        found.append(d._cuts(counts, ["g"], 16, 1000).first()["cuts"])
     assert found[0] == found[1] == found[2] and len(found[0]) == 15
     shares = np.diff(np.searchsorted(np.sort([v for _, v in rows]), found[0]))
     assert shares.max() < 20000 * 0.4
-    got = d.exact_quantiles(df, "x", ["g"], [0.5], 16).first()["q"]
+    got = d.exact_quantiles(df, "x", ["g"], [0.5], 16, 1000).first()["q"]
     np.testing.assert_allclose(got, [np.median([v for _, v in rows])])
 
 
