@@ -94,6 +94,10 @@ def test_folder_store(spark, tmp_path, rows):
     assert rows(store.replace(numbers(spark, 6), "s")) == [(6,)]
     store.reset({"t": schema, "s": schema})
     assert store.read("t", schema).isEmpty() and store.read("s").isEmpty()
+    store.append(numbers(spark, 9), "t", "r4")
+    assert rows(store.read("t")) == [(9,)]
+    store.reset({"t": schema})
+    assert store.read("t").isEmpty()
 
 
 def test_catalog_store(spark, rows):
