@@ -135,3 +135,87 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
     sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM docs LEFT JOIN joined USING (row_id)
 """
+
+ORACLES["op5_prefix_targets"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'),
+        (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+), sized AS (
+    SELECT *, length(role) + length(text) + length('<|im_start|>') + length('<|im_end|>') + 2
+        + len(regexp_extract_all(role, '[\n\\]|<\|')) + len(regexp_extract_all(text, '\\|<\|')) AS chars
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (role = 'assistant'), ''))
+        AS loss_sha256,
+    sum(chars)::BIGINT AS formatted_chars, count(*) FILTER (role = 'assistant') AS n_examples
+FROM sized GROUP BY conv_id
+"""
+
+ORACLES["op6_winnowing"] = r"""
+WITH doc AS (
+    SELECT row_number() OVER () AS row_id, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+    FROM documents
+), item AS (
+    SELECT coalesce(item_id::VARCHAR, '') AS item, len(ws) AS n, ws FROM (
+        SELECT item_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+        FROM benchmark
+    )
+), piece AS (
+    SELECT DISTINCT item, least(n, 13) AS size,
+        unnest([array_to_string(ws[i : i + least(n, 13) - 1], ' ') FOR i IN range(1, n - least(n, 13) + 2)]) AS words
+    FROM item WHERE n > 0
+), size AS (
+    SELECT DISTINCT size FROM piece
+), spot AS (
+    SELECT row_id, size, pos, array_to_string(ws[pos : pos + size - 1], ' ') AS words
+    FROM (SELECT row_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS pos FROM doc, size)
+), hit AS (
+    SELECT row_id, item, pos, spot.size FROM spot JOIN piece ON spot.size = piece.size AND spot.words = piece.words
+), word AS (
+    SELECT row_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT row_id, unnest(range(pos, pos + size)) AS place FROM hit) GROUP BY row_id
+), named AS (
+    SELECT row_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT row_id, item FROM hit) GROUP BY row_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM doc LEFT JOIN word USING (row_id) LEFT JOIN named USING (row_id)
+"""
+
+ORACLES["op9_fast_similarity_sketching"] = r"""
+WITH RECURSIVE doc AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS ws
+    FROM documents
+), shingles AS (
+    SELECT doc_id, list_distinct([array_to_string(ws[i : i + least(len(ws), 3) - 1], ' ')
+        FOR i IN range(1, len(ws) - least(len(ws), 3) + 2)]) AS s
+    FROM doc WHERE len(ws) > 0
+), item AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS s FROM shingles
+), link AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM item a JOIN item b ON a.s = b.s AND a.doc_id < b.doc_id
+        AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach(node, root) AS (
+    SELECT doc_id, doc_id FROM shingles
+    UNION
+    SELECT b, root FROM reach JOIN (SELECT a, b FROM link UNION ALL SELECT b, a FROM link) ON node = a
+        WHERE root < b
+), least_root AS (
+    SELECT node, min(root) AS root FROM reach GROUP BY node
+)
+SELECT doc.doc_id, coalesce(len(s), 0)::BIGINT AS n_shingles, coalesce(root, doc.doc_id) AS component_id,
+    coalesce(root, doc.doc_id) = doc.doc_id AS kept
+FROM doc LEFT JOIN shingles USING (doc_id) LEFT JOIN least_root ON node = doc.doc_id
+"""
