@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from murmura.llm import (
     chat_format,
     decontamination,
+    html_text,
     mixing,
     near_dedup,
+    quality_classifier,
     quality_rules,
     secret_scan,
 )
@@ -40,6 +42,10 @@ def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("item_id bigint, text string").parquet(f"{sf_dir}/benchmark.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema("doc_id bigint, quality int, toxic int").parquet(f"{sf_dir}/labels.parquet")
+
+
 @query
 def op1_line_frequency(spark, d):
     return quality_rules.line_frequency(documents(spark, d))
@@ -89,6 +95,18 @@ def op6_winnowing(spark, d):
     return found.drop("version")
 
 
+@query
+def op8_text_to_tag_ratio(spark, d):
+    pages = spark.read.schema("page_id bigint, url string, html string").parquet(f"{d}/pages.parquet")
+    return html_text.extract_pages(pages)
+
+
 @query
 def op9_fast_similarity_sketching(spark, d):
     return near_dedup.near_duplicates(documents(spark, d), shingle=3, percent=85)
+
+
+@query
+def op10_empirical_bayes(spark, d):
+    known = labels(spark, d).select("doc_id", F.col("quality").alias("label"))
+    return quality_classifier.quality(documents(spark, d), known).drop("version")
