@@ -11,6 +11,7 @@ from murmura.llm import (
     chat_format,
     decontamination,
     html_text,
+    language_id,
     mixing,
     near_dedup,
     quality_classifier,
@@ -95,6 +96,11 @@ def op6_winnowing(spark, d):
     return found.drop("version")
 
 
+@query
+def op7_segmentation_unigrams(spark, d):
+    return language_id.language_id(documents(spark, d))
+
+
 @query
 def op8_text_to_tag_ratio(spark, d):
     pages = spark.read.schema("page_id bigint, url string, html string").parquet(f"{d}/pages.parquet")
