@@ -14,6 +14,7 @@ from murmura.llm import (
     language_id,
     mixing,
     near_dedup,
+    pii,
     quality_classifier,
     quality_rules,
     secret_scan,
@@ -80,6 +81,17 @@ def op3_blob_ledger(spark, d):
     )
 
 
+@query
+def op4_candidate_boosting(spark, d):
+    base = F.filter("spans", lambda s: s["kind"].isin(list(pii.BASE)))
+    return pii.personal_data(documents(spark, d)).select(
+        "doc_id",
+        *[_number("spans", kind).alias(f"n_{kind}") for kind in pii.BASE],
+        F.sha2(_said(base), 256).alias("base_sha256"),
+        _said(F.col("spans")).alias("spans"),
+    )
+
+
 @query
 def op5_prefix_targets(spark, d):
     schema = "conv_id bigint, turn bigint, role string, text string"
