@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from acceptance.queries import EVENT_TYPES, LEXICON, USER_STOPWORDS
+from acceptance.queries import LEXICON, PROMPT_ROLE, PROMPTS, USER_STOPWORDS
 from murmura.functions import STOPWORDS
 from murmura.functions.text import WHITESPACE
-from murmura.operators.prompts import INSTRUCTIONS, ROLE
+
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 _BLANKS = " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
 
@@ -26,7 +27,7 @@ def _sentiment(text: str) -> str:
 
 
 DOCS = f"""docs AS (
-    SELECT doc_id AS id, substring(text, 1, 80) AS title, text AS body, source AS subreddit,
+    SELECT doc_id AS id, concat_ws(' ', source, doc_id) AS title, text AS body, source AS subreddit,
            {_clean("text")} AS clean_body, {_sentiment("text")} AS sentiment
     FROM documents)"""
 
@@ -90,7 +91,7 @@ words AS (
     WHERE length(w) >= {min_length} AND w NOT IN ({_quoted(stopwords)}))"""
 
 
-_TITLED = "substring(text, 1, 80) || ' ' || text"
+_TITLED = "concat_ws(' ', source, doc_id) || ' ' || text"
 
 
 def _csv(name: str) -> str:
@@ -118,7 +119,7 @@ _LATIN1 = "regexp_replace({}, '[^\\x{{0}}-\\x{{FF}}]', '?', 'g')"
 _LEXICON = ", ".join(f"('{w}', {p}::DOUBLE)" for w, p in LEXICON.items())
 
 _INSTRUCTIONS = " UNION ALL ".join(
-    f"SELECT '{k}' AS instruction, '{v}' AS text" for k, v in INSTRUCTIONS.items()
+    f"SELECT '{k}' AS instruction, '{v}' AS text" for k, v in PROMPTS.items()
 )
 
 ORACLES: dict[str, str] = {
@@ -147,7 +148,8 @@ ORACLES: dict[str, str] = {
     "preview_of_processed_posts": f"""WITH {POSTS}
         SELECT title, clean_body, sentiment, score FROM posts ORDER BY id LIMIT 5""",
     "sample_of_comments": f"""WITH {COMMENTS}
-        SELECT id, post_id, ordinal, sentiment FROM comments ORDER BY post_id, ordinal LIMIT 2000""",
+        SELECT id, post_id, ordinal, sentiment FROM comments ORDER BY post_id, ordinal LIMIT 300""",
+    "all_comments": f"WITH {COMMENTS} SELECT id, post_id, ordinal, sentiment FROM comments",
     "stats_by_quoted_name": f"""WITH {POSTS}
         SELECT subreddit, round(round(avg(sentiment), 9), 6) AS avg_sentiment,
                round(round(avg(score), 9), 6) AS avg_score, round(round(avg(sentiment), 9), 6) AS by_position
@@ -196,6 +198,11 @@ ORACLES: dict[str, str] = {
         SELECT ts::DATE AS day,
                {", ".join(f"count(*) FILTER (event_type = '{t}') AS {t}" for t in EVENT_TYPES)}
         FROM events GROUP BY ALL""",
+    "daily_matrix_of_two": """
+        SELECT ts::DATE AS day, count(*) FILTER (event_type = 'click') AS click,
+               count(*) FILTER (event_type = 'view') AS view,
+               count(*) FILTER (event_type NOT IN ('click', 'view')) AS other
+        FROM events WHERE event_type IS NOT NULL GROUP BY ALL""",
     # distributions
     "box_minmax": _boxes("events", "event_type", "value"),
     "box_tukey": f"""WITH {_FENCES}
@@ -269,7 +276,7 @@ ORACLES: dict[str, str] = {
     "latest_posts": f"""WITH {POSTS}
         SELECT id, title, subreddit, created_utc,
                (row_number() OVER (PARTITION BY subreddit ORDER BY created_utc DESC, id))::INTEGER AS rank
-        FROM posts QUALIFY rank <= 100""",
+        FROM posts QUALIFY rank <= 20""",
     "first_comments": f"""WITH {COMMENTS}
         SELECT id, post_id, author, ordinal,
                (row_number() OVER (PARTITION BY post_id ORDER BY ordinal))::INTEGER AS rank
@@ -304,22 +311,36 @@ ORACLES: dict[str, str] = {
         FROM comments c JOIN documents d ON d.doc_id = c.post_id QUALIFY rank <= 10""",
     # prompts
     "prompt_context": f"WITH {_CONTEXTS} SELECT subreddit, n_rows, context FROM contexts",
-    "joint_prompt_context": f"""WITH {_CONTEXTS}
-        SELECT count(*) AS n_rows, '{",".join(_CONTEXT_COLUMNS)}' || chr(10)
-               || string_agg(line, chr(10) ORDER BY list_position(['src2', 'src1', 'src7'], subreddit), rank)
-               AS context
-        FROM lines WHERE subreddit IN ('src2', 'src1', 'src7')""",
+    "joint_prompt_context": f"""WITH {_CONTEXTS}, placed AS (
+            SELECT *, row_number() OVER (ORDER BY subreddit) - 1 AS p
+            FROM (SELECT subreddit, n_rows, substring(context, strpos(context, chr(10)) + 1) AS rows FROM contexts))
+        SELECT (p // 8)::BIGINT AS page, sum(n_rows)::BIGINT AS n_rows, '{",".join(_CONTEXT_COLUMNS)}' || chr(10)
+               || string_agg(rows, chr(10) ORDER BY p) AS context
+        FROM placed GROUP BY ALL""",
+    "prompts_of_questions": f"""WITH {_CONTEXTS}, asks AS (
+            SELECT source AS subreddit, 'What became of post ' || min(doc_id) || '?' AS text FROM documents GROUP BY source)
+        SELECT subreddit, 'first' AS instruction,
+               '{PROMPT_ROLE}' || chr(10) || chr(10) || 'Data (CSV):' || chr(10) || context
+               || chr(10) || chr(10) || 'Instruction: ' || text AS prompt
+        FROM contexts JOIN asks USING (subreddit)""",
     "prompt_table": f"""WITH {_CONTEXTS}, asks AS ({_INSTRUCTIONS})
         SELECT subreddit, instruction,
-               '{ROLE}' || chr(10) || chr(10) || 'Data (CSV):' || chr(10) || context
+               '{PROMPT_ROLE}' || chr(10) || chr(10) || 'Data (CSV):' || chr(10) || context
                || chr(10) || chr(10) || 'Instruction: ' || text AS prompt
         FROM contexts CROSS JOIN asks""",
     "transcripts": f"""
-        SELECT conv_id, (turn // 1000)::BIGINT AS page,
-               string_agg(CASE WHEN role = 'user' THEN 'User:' ELSE 'Assistant:' END
-                          || chr(10) || {_LATIN1.format("text")},
-                          chr(10) || chr(10) ORDER BY turn) AS transcript
-        FROM conversations GROUP BY ALL""",
+        WITH said AS (
+            SELECT conv_id, CASE WHEN (conv_id * 8 + turn) % 11 <> 0 THEN turn END AS turn,
+                   CASE WHEN role = 'user' THEN 'User:' ELSE 'Assistant:' END
+                   || chr(10) || {_LATIN1.format("text")} AS line FROM conversations),
+        placed AS (
+            SELECT conv_id, turn // 3 AS page, turn AS place, line FROM said WHERE turn IS NOT NULL
+            UNION ALL
+            SELECT conv_id, -((place + 2) // 3), place, line FROM (
+                SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY line) AS place
+                FROM said WHERE turn IS NULL))
+        SELECT conv_id, page::BIGINT AS page, string_agg(line, chr(10) || chr(10) ORDER BY place) AS transcript
+        FROM placed GROUP BY ALL""",
     # files, jobs, streams
     "posts_csv_roundtrip": f"""WITH {POSTS}
         SELECT id::VARCHAR AS id, title, body, score::VARCHAR AS score, author::VARCHAR AS author,
@@ -343,7 +364,44 @@ ORACLES: dict[str, str] = {
     "stream_clean_posts": f"""WITH {DOCS}
         SELECT id, clean_body, sentiment, length(body)::DOUBLE AS score FROM docs""",
     "stream_hourly_volume": """
-        SELECT date_trunc('hour', ts) AS hour_start, event_type, count(*) AS n FROM events
-        WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)
-        GROUP BY ALL""",
+        SELECT date_trunc('hour', ts) AS hour_start, event_type, count(*) AS n
+        FROM events GROUP BY ALL""",
+    "stream_deduped": "SELECT doc_id, source, n_chars, 2::INTEGER AS load FROM documents",
+    "landed_row_counts": f"""WITH {POSTS}
+        SELECT 'posts' AS name, count(*) AS n_read, count(*) AS n_reported FROM posts
+        UNION ALL SELECT 'comments', count(*), count(*) FROM conversations""",
+    "snapshot_of_groups": """
+        SELECT source AS subreddit, count(*) AS n_held, 2 * count(*) AS n_now FROM documents GROUP BY source""",
+    "missing_and_reset_tables": """
+        SELECT 0::BIGINT AS missing, 0::BIGINT AS unwritten, count(*) AS written, 0::BIGINT AS reset FROM events""",
+    "statistics_of_nothing": """
+        SELECT count(*) AS n_posts, avg(value) AS avg_score, avg(value) AS avg_sentiment,
+               0::BIGINT AS n_comments FROM events WHERE event_id < 0""",
+    "pandas_scores": """
+        SELECT doc_id AS id, round(round((length(trim(text, chr(10) || ' '))
+               - length(replace(trim(text, chr(10) || ' '), chr(10), ''))) / 100, 9), 6) AS sentiment FROM documents""",
+    "histogram20_with_gaps": f"""
+        WITH kept AS (SELECT event_type, value FROM events WHERE event_id % 7 <> 0),
+        span AS (SELECT event_type, min(value) AS lo, max(value) AS hi FROM kept GROUP BY event_type),
+        cells AS (
+            SELECT event_type, {_bin("value", "lo", "hi")} AS bin, count(*) AS n
+            FROM kept JOIN span USING (event_type) GROUP BY ALL)
+        SELECT span.event_type, b.bin::INTEGER AS bin, round(round(lo + (hi - lo) / 20 * b.bin, 9), 6) AS bin_low,
+               round(round(lo + (hi - lo) / 20 * (b.bin + 1), 9), 6) AS bin_high, coalesce(cells.n, 0) AS n
+        FROM range(20) AS b(bin) CROSS JOIN span
+        LEFT JOIN cells ON cells.bin = b.bin AND cells.event_type = span.event_type""",
+    "batch_job_lexicon": f"""WITH {POSTS},
+        lists AS MATERIALIZED (
+            SELECT id, regexp_extract_all(lower(body), '[\\p{{L}}\\p{{N}}_]+') AS ws FROM posts),
+        words AS (SELECT id, unnest(ws) AS word FROM lists),
+        lexicon(word, polarity) AS (VALUES {_LEXICON}),
+        scored AS (SELECT id, avg(polarity) AS s FROM words JOIN lexicon USING (word) GROUP BY id)
+        SELECT subreddit, round(round(avg(score), 9), 6) AS avg_score,
+               round(round(avg(coalesce(s, 0.0)), 9), 6) AS avg_sentiment,
+               round(round(avg(num_comments), 9), 6) AS avg_num_comments
+        FROM posts LEFT JOIN scored USING (id) GROUP BY subreddit""",
 }
+ORACLES["box_minmax_in_ranges"] = _boxes("(SELECT * FROM events WHERE event_id % 7 <> 0)", "event_type", "value")
+ORACLES["box_tukey_in_ranges"] = ORACLES["box_tukey"].replace(
+    "FROM events", "FROM (SELECT * FROM events WHERE event_id % 7 <> 0)"
+)

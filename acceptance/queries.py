@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,9 +18,15 @@ from murmura.functions import (
     with_dates,
 )
 from murmura.operators import cohorts, distributions, keywords, kpis, prompts, ranking, trends
-from murmura.operators.scoring import lexicon_sentiment, process_comments, process_posts
+from murmura.operators.scoring import (
+    lexicon_scorer,
+    lexicon_sentiment,
+    process_comments,
+    process_posts,
+    with_clean_text,
+    with_sentiment,
+)
 from murmura.plans.job import run_job
-from murmura.session import tune
 from murmura.sources.landing import (
     combine_landings,
     in_groups,
@@ -27,13 +34,16 @@ from murmura.sources.landing import (
     read_posts,
     write_landing,
 )
-from murmura.sources.scratch import fresh_path, stage
+from murmura.schemas import POSTS
+from murmura.sources.scratch import fresh_path
 from murmura.sources.tables import (
     FolderStore,
+    Snapshot,
     comments_sample,
     processed_preview,
     resolve_column,
     run_sql,
+    table_or_empty,
 )
 from murmura.streaming import landing_stream
 
@@ -41,16 +51,20 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 LEXICON = {"with": 0.5, "that": -0.5, "this": 1.0, "from": -1.0, "have": 0.25, "was": -0.25}
 USER_STOPWORDS = ["that", "with", "tion", "ther"]
+PROMPT_ROLE = "You report on invented communities. Answer in two sentences."
+PROMPTS = {
+    "loudest": "Which post drew most comments, and what is it about?",
+    "mood": "Is the mood of these posts rising or falling?",
+}
 
 
 def query(function: Query) -> Query:
     """Register ``function`` under its own name."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return b.rounded(function(tune(spark), sf_dir))
+        return b.rounded(function(b.prepared(spark), sf_dir))
 
     QUERIES[function.__name__] = run
     return function
@@ -128,7 +142,12 @@ def preview_of_processed_posts(spark, d):
 @query
 def sample_of_comments(spark, d):
     slim = b.comments(spark, d).select("id", "post_id", "ordinal", "sentiment")
-    return comments_sample(slim, 2000, ["post_id", "ordinal"])
+    return comments_sample(slim, 300, ["post_id", "ordinal"])
+
+
+@query
+def all_comments(spark, d):
+    return comments_sample(b.comments(spark, d).select("id", "post_id", "ordinal", "sentiment"))
 
 
 @query
@@ -137,7 +156,7 @@ def stats_by_quoted_name(spark, d):
     sql = f"""
         SELECT subreddit, `avg(sentiment)` AS avg_sentiment, `avg(score)` AS avg_score,
                `{resolve_column(stats, "no_such_name", 2)}` AS by_position
-        FROM stats
+        FROM {{stats}}
     """
     return run_sql(spark, sql, {"stats": stats})
 
@@ -146,7 +165,7 @@ def stats_by_quoted_name(spark, d):
 def adhoc_sql(spark, d):
     sql = """
         SELECT subreddit, count(*) AS n, max(score) AS best
-        FROM posts WHERE sentiment < 0 GROUP BY subreddit
+        FROM {posts} WHERE sentiment < 0 GROUP BY subreddit
     """
     return run_sql(spark, sql, {"posts": b.posts(spark, d)})
 
@@ -220,8 +239,14 @@ def daily_volume(spark, d):
 
 @query
 def daily_matrix(spark, d):
+    return trends.daily_volume_matrix(b.table(spark, d, "events"), "ts", "event_type")
+
+
+@query
+def daily_matrix_of_two(spark, d):
+    """All groups that are not named count as other."""
     events = b.table(spark, d, "events")
-    return trends.daily_volume_matrix(events, "ts", "event_type", EVENT_TYPES)
+    return trends.daily_volume_matrix(events, "ts", "event_type", ["click", "view"])
 
 
 # --- distributions ---------------------------------------------------------
@@ -248,6 +273,31 @@ def sentiment_boxes(spark, d):
     return distributions.box_stats(b.documents(spark, d))
 
 
+CUTTING = {"lots": 64, "per_range": 100}
+
+
+@query
+def box_minmax_in_ranges(spark, d):
+    """Small ranges, so that small tables take many of them as well."""
+    return distributions.box_stats(_gappy(spark, d), "value", ["event_type"], **CUTTING)
+
+
+@query
+def box_tukey_in_ranges(spark, d):
+    return distributions.box_stats(_gappy(spark, d), "value", ["event_type"], "tukey", **CUTTING)
+
+
+def _gappy(spark, d):
+    """Every seventh value is missing."""
+    value = F.when(F.col("event_id") % 7 != 0, F.col("value"))
+    return b.table(spark, d, "events").withColumn("value", value)
+
+
+@query
+def histogram20_with_gaps(spark, d):
+    return distributions.histogram(_gappy(spark, d), "value", by=["event_type"])
+
+
 @query
 def histogram20(spark, d):
     return distributions.histogram(b.table(spark, d, "events"), "value")
@@ -285,7 +335,19 @@ def keywords_user_stopwords(spark, d):
 
 @query
 def lexicon_scores(spark, d):
-    return lexicon_sentiment(b.documents(spark, d), LEXICON)
+    return lexicon_sentiment(b.documents(spark, d), LEXICON).select("id", "sentiment")
+
+
+@query
+def pandas_scores(spark, d):
+    """A user's scorer as a pandas UDF."""
+
+    @F.pandas_udf("double")
+    def lines(text: pd.Series) -> pd.Series:
+        return text.str.count("\n") / 100.0
+
+    raw = b.table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("body"))
+    return with_sentiment(with_clean_text(raw), lines).select("id", "sentiment")
 
 
 # --- rankings --------------------------------------------------------------
@@ -314,7 +376,7 @@ def top_authors_per_group(spark, d):
 @query
 def latest_posts(spark, d):
     slim = b.posts(spark, d).select("id", "title", "subreddit", "created_utc")
-    return ranking.latest_n_per_group(slim, 100)
+    return ranking.latest_n_per_group(slim, 20)
 
 
 @query
@@ -393,12 +455,7 @@ def top_comments_per_group(spark, d):
 
 
 def _contexts(spark, d):
-    """The newest posts are picked without their texts, then the texts are fetched."""
-    slim = b.posts(spark, d).select("id", "subreddit", "score", "created_utc")
-    sample = ranking.group_sample(slim, 15)
-    chosen = stage(b.with_comment_count(sample, spark, d), "sample").drop("subreddit")
-    texts = b.documents(spark, d).select("id", "title", "body", "subreddit")
-    return prompts.context_of_sample(texts.join(chosen, "id"))
+    return prompts.prompt_context(b.with_comment_count(b.posts(spark, d), spark, d))
 
 
 @query
@@ -408,17 +465,32 @@ def prompt_context(spark, d):
 
 @query
 def joint_prompt_context(spark, d):
-    return prompts.joint_context(_contexts(spark, d), ["src2", "src1", "src7"])
+    return prompts.joint_contexts(_contexts(spark, d), groups_per_page=8)
 
 
 @query
 def prompt_table(spark, d):
-    return prompts.build_prompts(_contexts(spark, d))
+    return prompts.build_prompts(_contexts(spark, d), PROMPTS, PROMPT_ROLE)
+
+
+@query
+def prompts_of_questions(spark, d):
+    """Free questions as a table: one per group, asked of that group alone."""
+    asked = b.documents(spark, d).groupBy("subreddit").agg(F.min("id").alias("first"))
+    questions = asked.select(
+        "subreddit",
+        F.lit("first").alias("name"),
+        F.concat(F.lit("What became of post "), F.col("first").cast("string"), F.lit("?")).alias("text"),
+    )
+    return prompts.build_prompts(_contexts(spark, d), questions, PROMPT_ROLE)
 
 
 @query
 def transcripts(spark, d):
-    return prompts.render_transcripts(b.table(spark, d, "conversations"))
+    messages = b.table(spark, d, "conversations")
+    # Every eleventh message has lost its turn.
+    lost = F.when(F.pmod(F.col("conv_id") * 8 + F.col("turn"), F.lit(11)) != 0, F.col("turn"))
+    return prompts.render_transcripts(messages.withColumn("turn", lost), page_turns=3)
 
 
 # --- files, jobs, streams --------------------------------------------------
@@ -490,11 +562,98 @@ def stream_clean_posts(spark, d):
     return spark.read.parquet(f"{folder}/posts").select("id", "clean_body", "sentiment", "score")
 
 
+@query
+def batch_job_lexicon(spark, d):
+    """The job with the polarity scorer."""
+    landing = fresh_path(spark, "landing")
+    write_landing(_raw_posts(spark, d), f"{landing}/posts.csv")
+    write_landing(_raw_comments(spark, d), f"{landing}/comments.csv")
+    store = FolderStore(spark, fresh_path(spark, "tables"))
+    run_job(spark, landing, store, lexicon_scorer(LEXICON))
+    return store.read("stats")
+
+
+@query
+def landed_row_counts(spark, d):
+    """What each write of a landing reports, against the rows that are read back."""
+    folder = fresh_path(spark, "landing")
+    counts = {
+        "posts": write_landing(_raw_posts(spark, d), f"{folder}/posts.csv"),
+        "comments": write_landing(_raw_comments(spark, d), f"{folder}/comments.csv"),
+    }
+    posts = read_posts(spark, f"{folder}/posts.csv").agg(F.count(F.lit(1)).alias("n_read"))
+    comments = read_comments(spark, f"{folder}/comments.csv").agg(F.count(F.lit(1)).alias("n_read"))
+    return (
+        posts.withColumn("name", F.lit("posts"))
+        .unionByName(comments.withColumn("name", F.lit("comments")))
+        .withColumn("n_reported", F.when(F.col("name") == "posts", counts["posts"]).otherwise(counts["comments"]))
+    )
+
+
+@query
+def snapshot_of_groups(spark, d):
+    """A snapshot keeps what it read while its source goes on."""
+    store = FolderStore(spark, fresh_path(spark, "snapshot_source"))
+    slim = b.documents(spark, d).select("id", "subreddit")
+    store.append(slim, "posts", "first")
+    snapshot = Snapshot(spark).refresh(held_posts=store.read("posts"))
+    store.append(slim, "posts", "second")
+    held = snapshot["held_posts"].groupBy("subreddit").agg(F.count(F.lit(1)).alias("n_held"))
+    now = store.read("posts").groupBy("subreddit").agg(F.count(F.lit(1)).alias("n_now"))
+    return held.join(now, "subreddit")
+
+
+@query
+def missing_and_reset_tables(spark, d):
+    """Rows of a table that was never written, one that was, and the same after a reset."""
+    store = FolderStore(spark, fresh_path(spark, "reset"))
+    slim = b.metadata(spark, d).select("id", "score")
+    absent = table_or_empty(spark, "murmura_never_written", POSTS).select(F.lit("missing").alias("name"))
+    unread = store.read("posts", slim.schema).select(F.lit("unwritten").alias("name"))
+    store.append(slim, "posts", "first")
+    copy = fresh_path(spark, "before_reset")
+    store.read("posts").write.parquet(copy)
+    store.reset({"posts": slim.schema})
+    before = spark.read.parquet(copy).select(F.lit("written").alias("name"))
+    after = store.read("posts").select(F.lit("reset").alias("name"))
+    rows = absent.unionByName(unread).unionByName(before).unionByName(after)
+    names = ["missing", "unwritten", "written", "reset"]
+    return rows.agg(*[F.count_if(F.col("name") == name).alias(name) for name in names])
+
+
+@query
+def statistics_of_nothing(spark, d):
+    """Empty inputs: no row passes the filter, and still there are figures."""
+    none = b.posts(spark, d).filter("id < 0")
+    return kpis.global_kpis(none, b.table(spark, d, "conversations").filter("conv_id < -5"))
+
+
 @query
 def stream_hourly_volume(spark, d):
+    """Partial counts per micro-batch, added up on reading: all hours, open ones too."""
     schema = b.table(spark, d, "events").schema
     arriving = landing_stream.stream_table(spark, d, schema, "events.parquet")
     folder = fresh_path(spark, "stream")
-    volume = landing_stream.hourly_volume_stream(arriving, "ts", "event_type", "10 minutes")
-    landing_stream.catch_up(volume, f"{folder}/volume", f"{folder}/progress")
-    return spark.read.parquet(f"{folder}/volume")
+    store = FolderStore(spark, f"{folder}/tables")
+    landing_stream.catch_up_runs(
+        arriving,
+        store,
+        "hours",
+        f"{folder}/progress",
+        lambda batch: landing_stream.hourly_counts(batch, "ts", "event_type"),
+    )
+    return landing_stream.total_counts(store.read("hours"), "event_type")
+
+
+@query
+def stream_deduped(spark, d):
+    """Every document arrives twice, the copies after all originals; copies go on reading."""
+    docs = b.table(spark, d, "documents").select("doc_id", "source", "n_chars")
+    schema = docs.withColumn("load", F.lit(0)).schema
+    folder = fresh_path(spark, "stream")
+    store = FolderStore(spark, f"{folder}/tables")
+    for load in (1, 2):
+        docs.withColumn("load", F.lit(load)).write.mode("append").parquet(f"{folder}/in")
+        arriving = landing_stream.stream_table(spark, f"{folder}/in", schema)
+        landing_stream.catch_up_runs(arriving, store, "docs", f"{folder}/progress")
+    return ranking.dedupe_by_id(store.read("docs"), "doc_id", [F.desc("load")])

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from murmura.functions import in_order_desc, number
 from murmura.operators.kpis import volume
 from murmura.operators.ranking import top_k_per_group
-from murmura.sources.scratch import stage
+from murmura.operators.skew import per_key, small
 
 
 def _owners(posts: DataFrame, by: str, post_id: str) -> DataFrame:
-    """Distinct pairs of post and group, partitioned by post for the join that follows."""
+    """Distinct pairs of post and group; the join that follows brings its own exchange."""
     kept = posts.filter(F.col(by).isNotNull() & F.col("id").isNotNull())
-    return kept.select(F.col("id").alias(post_id), by).repartition(post_id).distinct()
+    return kept.select(F.col("id").alias(post_id), by).distinct()
 
 
 def cohort_comments(posts: DataFrame, comments: DataFrame, post_id: str = "post_id") -> DataFrame:
@@ -29,7 +29,7 @@ def with_group(
     """Comments with the group of their post, unless they carry a group themselves."""
     if by in comments.columns:
         return comments
-    groups = posts.groupBy(F.col("id").alias(post_id)).agg(F.min(by).alias(by))
+    groups = per_key(posts.select(F.col("id").alias(post_id), by), post_id, by)
     return comments.join(groups, post_id, "left").select(*comments.columns, by)
 
 
@@ -83,6 +83,26 @@ def _listed(comments: DataFrame) -> list[str]:
     return [c for c in wanted if c in comments.columns]
 
 
+def _slim(comments: DataFrame, post_id: str) -> DataFrame:
+    """What a ranking needs: ``row`` tells comments apart that have the same id or none."""
+    content = F.xxhash64(*[c for c in _listed(comments) if c != "sentiment"])
+    return comments.select("id", post_id, "score", content.alias("row"))
+
+
+def _fetched(comments: DataFrame, keys: DataFrame, post_id: str) -> DataFrame:
+    """The comments of the ranked keys, with all columns and those that the keys add.
+
+    A comment without id is found as well. What else has the same hash only
+    adds candidates, and the caller ranks once more.
+    """
+    content = F.xxhash64(*[c for c in _listed(comments) if c != "sentiment"])
+    added = [c for c in keys.columns if c not in ("id", post_id, "row", "score", "rank")]
+    distinct = keys.select(F.col(post_id).alias("_post"), F.col("row").alias("_row"), *added).distinct()
+    same = F.col(post_id).eqNullSafe(F.col("_post")) & (F.col("_content") == F.col("_row"))
+    found = comments.withColumn("_content", content).join(small(distinct), same)
+    return found.drop("_content", "_post", "_row")
+
+
 def top_comments(
     posts: DataFrame, comments: DataFrame, k: int = 10, post_id: str = "post_id"
 ) -> DataFrame:
@@ -92,11 +112,10 @@ def top_comments(
     ``k`` keys are broadcast and no text is shuffled.
     """
     order = [in_order_desc(comments, "score"), F.asc("id")]
-    slim = comments.select("id", post_id, "score")
-    winners = cohort_comments(posts, slim, post_id).orderBy(*order).limit(k)
-    keys = F.broadcast(winners.select("id", post_id).distinct())
-    found = comments.join(keys, ["id", post_id], "left_semi")
-    return found.orderBy(*order).limit(k).select(*_listed(comments))
+    winners = cohort_comments(posts, _slim(comments, post_id), post_id).orderBy(*order, "row").limit(k)
+    found = _fetched(comments, winners, post_id)
+    listed = _listed(comments)
+    return found.orderBy(*order, *listed).limit(k).select(*listed)
 
 
 def top_comments_per_group(
@@ -108,12 +127,15 @@ def top_comments_per_group(
 ) -> DataFrame:
     """The ``k`` best-scored comments on the posts of every group.
 
-    Ranks the keys alone and stages the winners (one job), so that the texts
-    are fetched by a join against a table of known size.
+    The best ``k`` of each post are found first, so a post with very many
+    comments meets its groups with ``k`` rows. Keys are ranked, and the texts
+    of the winners, ``k`` per group, are fetched afterwards.
     """
     order = [in_order_desc(comments, "score"), F.asc("id")]
-    slim = comments.select("id", post_id, "score").join(_owners(posts, by, post_id), post_id)
-    winners = top_k_per_group(slim, [by], order, k).select("id", post_id, by).distinct()
-    found = comments.drop(by).join(stage(winners, "top-comments"), ["id", post_id])
-    ranked = top_k_per_group(found, [by], order, k, parts=0)
-    return ranked.select(by, "rank", *_listed(comments))
+    best = top_k_per_group(_slim(comments, post_id), [post_id], [*order, F.asc("row")], k)
+    owned = best.drop("rank").join(_owners(posts, by, post_id), post_id)
+    winners = top_k_per_group(owned, [by], [*order, F.asc("row")], k, parts=0)
+    found = _fetched(comments.drop(by), winners, post_id)
+    listed = _listed(comments)
+    ranked = top_k_per_group(found, [by], [*order, *map(F.asc, listed)], k, parts=0)
+    return ranked.select(by, "rank", *listed)

@@ -1,9 +1,9 @@
 """Quantiles, box-plot figures, histograms and binned scatter plots.
 
-Exact and without ever holding a group in one task. Each operator first
-counts the distinct values per group; the shuffle is keyed by group *and*
-value, so a hot group spreads over all tasks, and Spark reuses that one
-exchange for every later pass over the values.
+Exact and without ever holding a group in one task. The operators read the
+value column more than once, with aggregates that combine before they shuffle;
+what a pass needs to know of its group is a broadcast summary. Only the rows
+that may hold a wanted rank are ever shuffled, spread by group and range.
 """
 
 from __future__ import annotations
@@ -15,85 +15,93 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from murmura.functions import number
-from murmura.operators.skew import salted_lookup
+from murmura.operators.skew import small
 
 _QUARTILES = (0.0, 0.25, 0.5, 0.75, 1.0)
 
 
-def value_counts(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
-    """Distinct non-missing values per group with their number of rows, as ``(*by, v, n)``."""
+def _values(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    """Groups and values, as ``(*by, v)``; a missing value is NULL, a missing group goes."""
     kept = df.select(*by, number(df, value).alias("v"))
     for key in by:
         kept = kept.filter(F.col(key).isNotNull())
-    # Missing values go by their count of 0. A filter on the value itself would
-    # be pushed below its computation and compute a score from text twice.
-    return kept.groupBy(*by, "v").agg(F.count("v").alias("n")).filter(F.col("n") > 0)
+    return kept
 
 
 def _names(by: Sequence[str]) -> list[str]:
     return [f"`{name}`" for name in by]
 
 
-def _cuts(counts: DataFrame, by: Sequence[str], slices: int, slice_above: int) -> DataFrame:
-    """Cut points per group that divide its distinct values, as ``(*by, cuts, total)``.
+def _with_summary(rows: DataFrame, summary: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows with the summary of their group; without groups the summary is one row."""
+    if by:
+        return rows.join(small(summary), list(by))
+    return rows.withColumn("_summary", summary.select(F.struct(*summary.columns)).scalar()).select(
+        *rows.columns, "_summary.*"
+    )
+
 
-    Groups of up to ``slice_above`` distinct values stay in one piece and get
-    no cuts, which keeps this table small.
+def _cuts(values: DataFrame, by: Sequence[str], lots: int, per_range: int) -> DataFrame:
+    """Cut points per group that divide its values, as ``(*by, cuts, total)``.
 
-    The values are dealt by hash into ``slices - 1`` lots, and the one with
-    the least hash of each lot becomes a cut: a random sample, but always the
-    same one. A task that is run again after an executor was lost must not
-    come to other cuts than the rest of the query, as it would with a sketch
-    that depends on the order of its input. (On a number the hash is one to
-    one, so there are no ties.)
+    The values are dealt by hash into lots, and the one with the least hash
+    of each lot may become a cut: a random sample, but always the same one. A
+    task that is run again after an executor was lost must not come to other
+    cuts than the rest of the query. (On a number the hash is one to one, so
+    there are no ties.) A group gets as many cuts as make ranges of about
+    ``per_range`` rows, so its number of ranges grows with the group.
     """
-    lots = counts.withColumns(
-        {"hash": F.xxhash64("v"), "lot": F.pmod(F.hash("v"), F.lit(slices - 1))}
-    )
-    sample = lots.groupBy(*by, "lot").agg(
-        F.min_by("v", "hash").alias("cut"),
-        F.count(F.lit(1)).alias("distinct"),
-        F.sum("n").alias("n"),
-    )
-    cuts = F.sort_array(F.collect_list("cut"))
-    return sample.groupBy(*by).agg(
-        F.when(F.sum("distinct") > slice_above, cuts).otherwise(F.array()).alias("cuts"),
-        F.sum("n").alias("total"),
+    dealt = values.withColumns({"hash": F.xxhash64("v"), "lot": F.pmod(F.hash("v"), F.lit(lots))})
+    sample = dealt.groupBy(*by, "lot").agg(
+        F.min_by("v", "hash").alias("cut"), F.min("hash").alias("hash"), F.count("v").alias("n")
     )
+    ranked = F.sort_array(F.collect_list(F.when(F.col("cut").isNotNull(), F.struct("hash", "cut"))))
+    total = F.sum("n")
+    wanted = F.ceil(total / per_range).cast("int") - 1
+    chosen = F.transform(F.slice(ranked, F.lit(1), F.greatest(wanted, F.lit(0))), lambda x: x["cut"])
+    return sample.groupBy(*by).agg(F.sort_array(chosen).alias("cuts"), total.alias("total")).filter("total > 0")
 
 
-def _slice(df: DataFrame, slices: int) -> DataFrame:
-    """Add ``slice``, the number of ``cuts`` below ``v``, by binary search.
+def _range(steps: int) -> list[str]:
+    """One column per step of a binary search for the number of ``cuts`` below ``v``.
 
-    One column per step: Spark keeps a projection that is used twice apart,
-    so the steps are computed once each, in generated code.
+    Spark keeps a projection that is used twice apart, so the steps are
+    computed once each, in generated code.
     """
-    df = df.withColumn("slice", F.lit(0))
-    step = slices // 2
-    while step:
-        above = f"if(get(cuts, slice + {step - 1}) < v, {step}, 0)"
-        df = df.withColumn("slice", F.expr(f"slice + {above}"))
-        step //= 2
-    return df
+    widths = []
+    while steps:
+        widths.append(f"range + if(coalesce(get(cuts, range + {steps - 1}) < v, false), {steps}, 0)")
+        steps //= 2
+    return widths
 
 
-def quantiles_of_counts(
-    counts: DataFrame,
+def _placed(values: DataFrame, cuts: DataFrame, by: Sequence[str], lots: int) -> DataFrame:
+    placed = _with_summary(values.filter("v IS NOT NULL"), cuts, by).withColumn("range", F.lit(0))
+    for step in _range(1 << (lots - 1).bit_length()):
+        placed = placed.withColumn("range", F.expr(step))
+    return placed
+
+
+def exact_quantiles(
+    df: DataFrame,
+    value: str,
     by: Sequence[str],
     probs: Sequence[float],
-    slices: int = 64,
-    slice_above: int = 100_000,
+    lots: int = 1024,
+    per_range: int = 50_000,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, as ``(*by, total, q)`` with ``q`` an array.
 
-    Cut points divide the values of a group with more than ``slice_above``
-    distinct ones into ``slices`` (a power of two) ranges. Row counts per range tell which ranges hold the wanted
-    ranks, and only those ranges are sorted. The cut points decide how evenly
-    the work is spread, never what the result is.
+    Cut points divide the values of a group into ranges of about ``per_range``
+    rows, at most ``lots`` ranges. Rows per range tell which ranges hold the
+    wanted ranks, and only rows of those ranges are shuffled and sorted, after
+    equal values have been counted. The cut points decide how evenly the work
+    is spread, never what the result is. Groups are summaries: see ``small``
+    for their number.
     """
     by = list(by)
-    cuts = _cuts(counts, by, slices, slice_above)
-    placed = _slice(salted_lookup(counts, cuts, by, ["v"]), slices)
+    values = _values(df, value, by)
+    placed = _placed(values, _cuts(values, by, lots, per_range), by, lots)
 
     # Ranks count from 1; a quantile lies between the two ranks next to it.
     below = [f"floor((total - 1) * {float(p)}D) + 1" for p in probs]
@@ -101,25 +109,25 @@ def quantiles_of_counts(
     part = [f"((total - 1) * {float(p)}D - floor((total - 1) * {float(p)}D))" for p in probs]
     ranks = f"array_distinct(array({', '.join(below + above)}))"
 
-    # At most ``slices`` rows per group from here on.
-    earlier = W.partitionBy(*by).orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy(*by).orderBy("range").rowsBetween(W.unboundedPreceding, -1)
     targets = (
-        placed.groupBy(*by, "slice", "total")
-        .agg(F.sum("n").alias("slice_n"))
-        .withColumn("before", F.coalesce(F.sum("slice_n").over(earlier), F.lit(0)))
+        placed.groupBy(*by, "range", "total")
+        .agg(F.count(F.lit(1)).alias("range_n"))
+        .withColumn("before", F.coalesce(F.sum("range_n").over(earlier), F.lit(0)))
         .selectExpr(
             *_names(by),
-            "slice",
+            "range",
             "before",
-            f"filter({ranks}, r -> r > before AND r <= before + slice_n) AS ranks",
+            f"filter({ranks}, r -> r > before AND r <= before + range_n) AS ranks",
         )
         .filter("size(ranks) > 0")
     )
-    in_slice = W.partitionBy(*by, "slice").orderBy("v")
-    through = in_slice.rowsBetween(W.unboundedPreceding, W.currentRow)
+    in_range = W.partitionBy(*by, "range").orderBy("v")
+    through = in_range.rowsBetween(W.unboundedPreceding, W.currentRow)
     hits = (
-        placed.drop("cuts")
-        .join(targets, [*by, "slice"])
+        placed.join(small(targets), [*by, "range"])
+        .groupBy(*by, "range", "total", "before", "ranks", "v")
+        .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("upto", F.col("before") + F.sum("n").over(through))
         .selectExpr(
             *_names(by),
@@ -136,28 +144,20 @@ def quantiles_of_counts(
     return found.selectExpr(*_names(by), "total", f"array({', '.join(q)}) AS q")
 
 
-def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    by: Sequence[str],
-    probs: Sequence[float],
-    slices: int = 64,
-    slice_above: int = 100_000,
-) -> DataFrame:
-    return quantiles_of_counts(value_counts(df, value, by), by, probs, slices, slice_above)
-
-
-def _box(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+def _box(df: DataFrame, value: str, by: Sequence[str], **cutting: int) -> DataFrame:
     names = ("low", "q1", "median", "q3", "high")
-    quartiles = quantiles_of_counts(counts, by, _QUARTILES)
+    quartiles = exact_quantiles(df, value, by, _QUARTILES, **cutting)
     return quartiles.selectExpr(
         *_names(by), "total AS n_total", *[f"q[{i}] AS {name}" for i, name in enumerate(names)]
     )
 
 
-def _with_fences(counts: DataFrame, by: Sequence[str], reach: float) -> DataFrame:
-    """Values with the quartiles of their group and the flag ``outside`` the fences."""
-    fenced = salted_lookup(counts, _box(counts, by), list(by), ["v"])
+def _with_fences(
+    df: DataFrame, value: str, by: Sequence[str], reach: float, **cutting: int
+) -> DataFrame:
+    """Values with the quartiles of their group, and whether they lie beyond the fences."""
+    box = _box(df, value, by, **cutting)
+    fenced = _with_summary(_values(df, value, by).filter("v IS NOT NULL"), box, by)
     low = f"q1 - {float(reach)}D * (q3 - q1)"
     high = f"q3 + {float(reach)}D * (q3 - q1)"
     return fenced.withColumns(
@@ -174,16 +174,18 @@ def box_stats(
     by: Sequence[str] = ("subreddit",),
     whisker: str = "minmax",
     reach: float = 1.5,
+    **cutting: int,
 ) -> DataFrame:
     """Box-plot figures per group.
 
     ``minmax`` draws the whiskers to the extremes. ``tukey`` draws them to the
     furthest value within ``reach`` inter-quartile ranges of the box and
-    counts the rows beyond as outliers.
+    counts the rows beyond as outliers; that takes one more pass over the
+    values, with partial aggregates only. ``cutting`` goes to
+    ``exact_quantiles``.
     """
-    counts = value_counts(df, value, by)
     if whisker == "minmax":
-        return _box(counts, by).withColumnsRenamed(
+        return _box(df, value, by, **cutting).withColumnsRenamed(
             {"n_total": "n", "low": "whisker_low", "high": "whisker_high"}
         )
     if whisker != "tukey":
@@ -191,12 +193,12 @@ def box_stats(
     # An interpolated quartile may lie beyond every value inside the fence,
     # and then the whisker ends at the box.
     return (
-        _with_fences(counts, by, reach)
+        _with_fences(df, value, by, reach, **cutting)
         .groupBy(*by, "n_total", "q1", "median", "q3")
         .agg(
             F.expr("min(if(beyond_low, null, v))").alias("least"),
             F.expr("max(if(beyond_high, null, v))").alias("most"),
-            F.expr("sum(if(beyond_low OR beyond_high, n, 0))").alias("n_outliers"),
+            F.expr("count_if(beyond_low OR beyond_high)").alias("n_outliers"),
         )
         .selectExpr(
             *_names(by),
@@ -216,10 +218,11 @@ def box_outliers(
     value: str = "sentiment",
     by: Sequence[str] = ("subreddit",),
     reach: float = 1.5,
+    **cutting: int,
 ) -> DataFrame:
     """The values beyond the Tukey fences with their number of rows."""
-    fenced = _with_fences(value_counts(df, value, by), by, reach)
-    return fenced.filter("beyond_low OR beyond_high").select(*by, F.col("v").alias(value), "n")
+    beyond = _with_fences(df, value, by, reach, **cutting).filter("beyond_low OR beyond_high")
+    return beyond.groupBy(*by, F.col("v").alias(value)).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _bin(x: Column, low: Column, high: Column, bins: int) -> Column:
@@ -244,20 +247,13 @@ def histogram(
     conditional count each, so no join is needed to fill in the empty ones.
     """
     by = list(by)
-    x = number(df, value)
+    values = _values(df, value, by)
+    span = values.groupBy(*by).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     if by:
-        counts = value_counts(df, value, by)
-        # The total keeps ``n`` in the plan, and with it the shared exchange.
-        ranges = counts.groupBy(*by).agg(
-            F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("total")
-        )
-        binned = salted_lookup(counts, ranges, by, ["v"])
-    else:
-        kept = df.select(x.alias("v"))
-        span = kept.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
-        binned = kept.select("v", F.lit(1).alias("n"), span.alias("span")).select("v", "n", "span.*")
+        span = span.filter("lo IS NOT NULL")
+    binned = _with_summary(values, span, by)
     index = _bin(F.col("v"), F.col("lo"), F.col("hi"), bins)
-    cells = ", ".join(f"coalesce(sum(if(bin = {i}, n, 0)), 0L)" for i in range(bins))
+    cells = ", ".join(f"coalesce(count_if(bin = {i}), 0L)" for i in range(bins))
     summed = (
         binned.withColumn("bin", index)
         .groupBy(*by)

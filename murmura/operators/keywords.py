@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from murmura.functions import STOPWORDS, not_stopword, post_text, tokens
 from murmura.operators.ranking import top_k_per_group
-from murmura.operators.skew import broadcast_if_small
 
 
 def keyword_counts(
@@ -36,7 +35,7 @@ def keyword_counts(
     counts = words.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("freq"))
     if listed:
         unwanted = stopwords.select(F.col(stopwords.columns[0]).alias("word"))
-        counts = counts.join(broadcast_if_small(unwanted), "word", "left_anti")
+        counts = counts.join(unwanted, "word", "left_anti")
         counts = counts.select(*keys, "word", "freq")
     return counts
 

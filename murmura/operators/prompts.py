@@ -6,20 +6,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from murmura.functions import csv_line, latin1_fold
-from murmura.operators.ranking import group_sample
-
-ROLE = (
-    "You are a senior data analyst for online communities. "
-    "Be precise and well structured, and format the answer as Markdown."
-)
-INSTRUCTIONS = {
-    "overview": "Analyse these posts as a whole: trends, sentiment, main topics, anomalies.",
-    "crises": "Find the posts with very negative or heated reactions. What are people unhappy about?",
-    "ideas": "From the popular topics, suggest three pieces of content this audience would like.",
-}
-
+from murmura.functions import csv_line, latin1_fold, utc
+from murmura.operators.ranking import top_k_per_group
+from murmura.operators.skew import small
 
 def _context_columns(df: DataFrame, by: str) -> list[str]:
     wanted = ["title", "body", by, "score", "num_comments"]
@@ -53,9 +44,23 @@ def prompt_context(
 ) -> DataFrame:
     """The ``n`` newest posts of every group as one CSV text per group.
 
-    A text holds at most ``n`` posts, whatever the size of its group.
+    Groups, times and ids are ranked first; then the texts of the winners are
+    fetched, so no other text is shuffled. A text holds at most ``n`` posts,
+    whatever the size of its group.
     """
-    return context_of_sample(group_sample(posts, n, by, ts, key), by)
+    order = [F.desc_nulls_last(utc(posts, ts)), F.asc(key)]
+    place = [by, ts, key]
+    winners = top_k_per_group(posts.select(*place), [by], order, n).select(
+        *[F.col(c).alias(f"_{c}") for c in place]
+    ).distinct()
+    same = F.lit(True)
+    for c in place:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    columns = list(dict.fromkeys([*_context_columns(posts, by), *place]))
+    found = posts.select(*columns).join(small(winners), same).select(*columns)
+    # Posts that agree in group, time and id are told apart by their content.
+    content = F.xxhash64(*columns)
+    return context_of_sample(top_k_per_group(found, [by], [*order, content], n, parts=0), by)
 
 
 def joint_context(contexts: DataFrame, groups: Sequence[str], by: str = "subreddit") -> DataFrame:
@@ -72,14 +77,49 @@ def joint_context(contexts: DataFrame, groups: Sequence[str], by: str = "subredd
     )
 
 
-def build_prompts(
-    contexts: DataFrame, instructions: Mapping[str, str] = INSTRUCTIONS, role: str = ROLE
+def joint_contexts(
+    contexts: DataFrame, groups_per_page: int = 50, by: str = "subreddit"
 ) -> DataFrame:
-    """One prompt per context and instruction: role, data, instruction."""
-    pairs = F.array(
-        *[F.struct(F.lit(k).alias("name"), F.lit(v).alias("text")) for k, v in instructions.items()]
+    """The CSV texts of all groups, by name, under one header per page: ``(page, n_rows, context)``.
+
+    A page holds ``groups_per_page`` groups, so that a row is bounded however
+    many groups there are. Only the names are ordered as a whole.
+    """
+    names = contexts.select(by).distinct()
+    place = F.row_number().over(W.orderBy(F.asc_nulls_first(by))) - 1
+    placed = contexts.join(names.select(F.col(by).alias("_name"), place.alias("p")), F.col(by).eqNullSafe(F.col("_name")))
+    rows = F.expr("substring(context, locate('\n', context) + 1)")
+    picked = placed.select(
+        F.floor(F.col("p") / groups_per_page).alias("page"),
+        "n_rows",
+        F.substring_index("context", "\n", 1).alias("header"),
+        F.struct("p", rows.alias("line")).alias("x"),
+    )
+    return picked.groupBy("page").agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.concat_ws("\n", F.max("header"), _joined(F.collect_list("x"))).alias("context"),
     )
-    asked = contexts.withColumn("ask", F.explode(pairs))
+
+
+def build_prompts(
+    contexts: DataFrame,
+    instructions: Mapping[str, str] | DataFrame,
+    role: str,
+    by: str = "subreddit",
+) -> DataFrame:
+    """One prompt per context and instruction: role, data, instruction.
+
+    A mapping of names to texts is asked of every context. A frame holds free
+    questions, ``(by, name, text)``, each asked of its own group.
+    """
+    if isinstance(instructions, DataFrame):
+        asks = instructions.select(by, F.struct("name", "text").alias("ask"))
+        asked = contexts.join(asks, by)
+    else:
+        pairs = F.array(
+            *[F.struct(F.lit(k).alias("name"), F.lit(v).alias("text")) for k, v in instructions.items()]
+        )
+        asked = contexts.withColumn("ask", F.explode(pairs))
     prompt = F.concat_ws(
         "\n\n",
         F.lit(role),
@@ -105,16 +145,29 @@ def render_transcripts(
 
     Every role but ``user`` is labelled as the assistant, a missing one as the user. A page covers
     ``page_turns`` consecutive turns, so the text of a very long conversation
-    continues on further rows instead of growing without bound. A
-    conversation that has no text at all gets the placeholder.
+    continues on further rows instead of growing without bound. Messages
+    without a turn come in the order of their texts on pages of their own,
+    numbered -1, -2 and so on. A row without turn, role and text is an empty
+    conversation; one that has nothing else gets the placeholder on page 0.
     """
     label = F.when(F.coalesce(F.col(role), F.lit("user")) == "user", user_label).otherwise(assistant_label)
     block = F.concat(label, F.lit("\n"), latin1_fold(F.coalesce(F.col(text), F.lit(""))))
-    blocks = F.when(F.col(turn).isNotNull(), F.struct(F.col(turn).alias("turn"), block.alias("line")))
-    page = F.coalesce(F.floor(F.col(turn) / F.lit(page_turns)), F.lit(0))
-    collected = messages.groupBy(conversation, page.cast("bigint").alias("page")).agg(
-        F.collect_list(blocks).alias("blocks")
+    nothing = F.col(turn).isNull() & F.col(role).isNull() & F.col(text).isNull()
+    said = messages.select(
+        conversation, F.col(turn).cast("bigint").alias("at"), F.when(~nothing, block).alias("line")
+    )
+    ordered = said.filter("at IS NOT NULL").withColumn("page", F.floor(F.col("at") / F.lit(page_turns)))
+    number = F.row_number().over(W.partitionBy(conversation).orderBy("line"))
+    loose = said.filter("at IS NULL AND line IS NOT NULL").withColumn("at", number.cast("bigint"))
+    loose = loose.withColumn("page", -F.ceil(F.col("at") / F.lit(page_turns)))
+    empty = said.filter("line IS NULL").distinct().withColumn("page", F.lit(0).cast("bigint"))
+    collected = ordered.unionByName(loose).unionByName(empty).groupBy(conversation, "page").agg(
+        F.array_sort(F.collect_list(F.when(F.col("line").isNotNull(), F.struct("at", "line")))).alias("blocks")
+    )
+    lines = F.transform("blocks", lambda x: x["line"])
+    shown = F.when(F.size("blocks") > 0, F.array_join(lines, "\n\n"))
+    pages = W.partitionBy(conversation)
+    kept = collected.withColumn("shown", shown).withColumn("n_shown", F.count("shown").over(pages))
+    return kept.filter("shown IS NOT NULL OR n_shown = 0").select(
+        conversation, "page", F.coalesce("shown", F.lit(placeholder)).alias("transcript")
     )
-    ordered = F.transform(F.array_sort("blocks"), lambda x: x["line"])
-    shown = F.when(F.size("blocks") > 0, F.array_join(ordered, "\n\n")).otherwise(placeholder)
-    return collected.select(conversation, "page", shown.alias("transcript"))

@@ -105,8 +105,8 @@ def dedupe_by_id(df: DataFrame, key: str = "id", latest: Sequence[Column] = ())
     Within each task all but one copy go before the shuffle, so copies of one
     id never meet in great numbers. Rows without an id are kept as they are.
     """
-    # Copies that are equally late are told apart by their content.
-    content = [F.asc(f.name) for f in df.schema if not isinstance(f.dataType, MapType)]
-    order = [*latest, *content]
+    # Copies that are equally late are told apart by a hash of their content.
+    content = [f.name for f in df.schema if not isinstance(f.dataType, MapType)]
+    order = [*latest, F.xxhash64(*content)]
     unique = top_k_per_group(df, [key], order, 1, rank="_copy", parts=0).drop("_copy")
     return unique.unionByName(df.filter(F.col(key).isNull()))

@@ -7,7 +7,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmura.functions import (
@@ -19,7 +20,6 @@ from murmura.functions import (
     to_int,
     tokens,
 )
-from murmura.operators.skew import broadcast_if_small
 
 Scorer = Callable[[Column], Column]
 
@@ -59,28 +59,40 @@ def process_comments(raw: DataFrame, scorer: Scorer = keyword_sentiment) -> Data
     return scored.withColumn("score", to_double(F.col("score")))
 
 
+def lexicon_scorer(lexicon: Mapping[str, float]) -> Scorer:
+    """A scorer: the mean polarity of a text's lexicon words, within [-1, 1].
+
+    A text without lexicon words scores 0. Words are found by Spark and looked
+    up in the row's own task by a pandas UDF, which carries the lexicon: a
+    word list of a language, not a table that grows with the data. Nothing is
+    joined or shuffled, so no word and no id can be a hot key, and every row
+    is scored by itself.
+    """
+    polarity = {word: float(value) for word, value in lexicon.items() if value is not None}
+
+    @F.pandas_udf("double")
+    def mean(words: pd.Series) -> pd.Series:
+        found = words.map(lambda ws: [polarity[w] for w in ws if w in polarity])
+        return found.map(lambda values: max(-1.0, min(1.0, sum(values) / len(values))) if values else 0.0)
+
+    return lambda text: mean(tokens(F.coalesce(text, F.lit(""))))
+
+
 def lexicon_sentiment(
-    df: DataFrame,
-    lexicon: DataFrame | Mapping[str, float],
-    text: str = "clean_body",
-    key: str = "id",
+    df: DataFrame, lexicon: Mapping[str, float], text: str = "clean_body"
 ) -> DataFrame:
-    """Mean polarity of a text's lexicon words within [-1, 1], as ``(key, sentiment)``.
+    """``df`` with ``sentiment``, each row scored by ``lexicon_scorer``."""
+    return with_sentiment(df, lexicon_scorer(lexicon), text)
+
 
-    A text without lexicon words scores 0. The words of a text meet the
-    lexicon in the text's own task and are averaged there, so the shuffle
-    carries one small row per text. A lexicon too large to broadcast is
-    joined by a shuffle instead, where adaptive execution splits frequent words.
+def read_lexicon(spark: SparkSession, path: str, max_words: int = 1_000_000) -> dict[str, float]:
+    """A lexicon from a CSV file with the columns word and polarity.
+
+    Equal words are averaged. A file of more than ``max_words`` words is an error.
     """
-    if not isinstance(lexicon, DataFrame):
-        lexicon = df.sparkSession.createDataFrame(
-            list(lexicon.items()), "word string, polarity double"
-        )
-    polarity = lexicon.groupBy("word").agg(F.avg("polarity").alias("polarity"))
-    words = df.select(key, F.explode_outer(tokens(F.col(text))).alias("word"))
-    mean = F.coalesce(F.avg("polarity"), F.lit(0.0))
-    return (
-        words.join(broadcast_if_small(polarity), "word", "left")
-        .groupBy(key)
-        .agg(F.least(F.greatest(mean, F.lit(-1.0)), F.lit(1.0)).alias("sentiment"))
-    )
+    rows = spark.read.schema("word string, polarity double").option("header", True).csv(path)
+    means = rows.filter("word IS NOT NULL AND polarity IS NOT NULL").groupBy("word")
+    found = means.agg(F.avg("polarity").alias("polarity")).limit(max_words + 1).collect()
+    if len(found) > max_words:
+        raise ValueError(f"{path} has more than {max_words} words")
+    return {row["word"]: row["polarity"] for row in found}

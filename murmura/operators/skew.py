@@ -1,49 +1,34 @@
-"""Joins and scans that hold up when sizes are very uneven."""
+"""Joins that hold up when sizes are very uneven."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-_SALT = "_salt"
-
-
-def salted_lookup(
-    rows: DataFrame, per_group: DataFrame, by: Sequence[str], spread: Sequence[str], salts: int = 16
-) -> DataFrame:
-    """Inner join of ``rows`` with one ``per_group`` row per group.
-
-    Each group is cut into ``salts`` parts by a hash of the ``spread`` columns
-    and the single group row is copied to every part, so no task gets a whole
-    hot group. Spark still broadcasts ``per_group`` where that is small.
-    """
-    # Never NULL, so that the join adds no filter below, where it would tell
-    # apart two reads of the same rows that could share one exchange.
-    salt = F.coalesce(F.pmod(F.hash(*spread), F.lit(salts)), F.lit(0))
-    cut = rows.withColumn(_SALT, salt)
-    copies = per_group.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return cut.join(copies, [*by, _SALT]).drop(_SALT)
+MAX_SMALL = 100_000
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
-    """Mark ``df`` for broadcast after measuring that it is small enough.
+def small(df: DataFrame, max_rows: int = MAX_SMALL) -> DataFrame:
+    """Mark a summary for broadcast, with a check of its size when the query runs.
 
-    Runs one small aggregate over ``df``. A larger table comes back unmarked,
-    and its join is a shuffle join like any other.
+    A summary has a row per group or per winner. With more than ``max_rows``
+    rows the query fails and says so, rather than to broadcast without bound or
+    to lose rows; a caller who has that many raises the bound, or joins without it.
     """
-    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
-    measured = df.agg(size.alias("bytes")).first()["bytes"] or 0
-    return F.broadcast(df) if measured <= max_bytes else df
+    total = F.count(F.lit(1)).over(W.partitionBy())
+    message = F.lit(f"more than {max_rows} rows in a table meant for broadcast")
+    checked = df.limit(max_rows + 1).withColumn("_total", total)
+    fits = F.when(F.col("_total") > max_rows, F.raise_error(message).cast("boolean")).otherwise(True)
+    return F.broadcast(checked.filter(fits).drop("_total"))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores for costly text work on a scan of a few splits.
+def per_key(df: DataFrame, key: str, value: str) -> DataFrame:
+    """The least ``value`` of each ``key``, for a join in which a hot key of the other side is split.
 
-    A scan with at least as many splits as cores is left alone, so only small
-    tables are ever shuffled for this. Meant for scans: asking a frame with a
-    shuffle for its partitions would run that shuffle.
+    Adaptive execution splits a skewed join only if both sides come straight
+    from the join's own exchange. Grouping by a second, dependent key keeps
+    Spark from serving the join with the exchange of the aggregate.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    dependent = F.hash(key).alias("_dependent")
+    return df.groupBy(key, dependent).agg(F.min(value).alias(value)).drop("_dependent")

@@ -55,11 +55,16 @@ def daily_volume_matrix(
 ) -> DataFrame:
     """One row per day and one column per group; 0 where a group has no rows that day.
 
-    Naming the ``groups`` saves the job that finds them. Without names Spark
-    refuses more than ``spark.sql.pivotMaxValues`` groups; ``daily_volume``
-    has no such bound.
+    Naming the ``groups`` saves the job that finds them; the rows of all
+    others are counted in the column ``other``. Without names Spark refuses
+    more than ``spark.sql.pivotMaxValues`` groups; ``daily_volume`` has no
+    such bound.
     """
     daily = daily_volume(df, ts, by)
+    if groups is not None:
+        if "other" in groups:
+            raise ValueError("'other' is the column of the groups that are not named")
+        named = F.when(F.col(by).isin(list(groups)), F.col(by)).otherwise("other")
+        daily, groups = daily.withColumn(by, named), [*groups, "other"]
     # Pivot the small per-day counts, so that the source is aggregated once.
-    pivoted = daily.groupBy("day").pivot(by, list(groups) if groups is not None else None)
-    return pivoted.agg(F.sum("n")).na.fill(0)
+    return daily.groupBy("day").pivot(by, groups).agg(F.sum("n")).na.fill(0)

@@ -11,7 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from murmura.functions import keyword_sentiment
 from murmura.operators.kpis import group_stats
-from murmura.operators.scoring import Scorer, process_comments, process_posts
+from murmura.operators.scoring import (
+    Scorer,
+    lexicon_scorer,
+    process_comments,
+    process_posts,
+    read_lexicon,
+)
 from murmura.session import tune
 from murmura.sources.landing import read_comments, read_posts
 from murmura.sources.tables import CatalogStore, FolderStore, JdbcStore
@@ -81,7 +87,10 @@ def main(argv: Sequence[str] | None = None) -> None:
         "--property", action="append", default=[], metavar="KEY=VALUE", help="JDBC property"
     )
     parser.add_argument("--int-mode", choices=("strict", "lenient"), default="strict")
-    parser.add_argument("--run", help="name of this run; repeating a run replaces its rows")
+    parser.add_argument("--lexicon", help="CSV of word and polarity to score with, instead of good and bad")
+    parser.add_argument(
+        "--run", help="name of this run; repeating a run replaces its rows (not for a database)"
+    )
     args = parser.parse_args(argv)
 
     spark = tune(SparkSession.builder.appName("murmura-job").getOrCreate())
@@ -92,7 +101,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     else:
         properties = dict(p.split("=", 1) for p in args.property)
         store = JdbcStore(spark, args.jdbc_url, properties, args.prefix)
-    result = run_job(spark, args.landing, store, int_mode=args.int_mode, run=args.run)
+    scorer = lexicon_scorer(read_lexicon(spark, args.lexicon)) if args.lexicon else keyword_sentiment
+    result = run_job(spark, args.landing, store, scorer, args.int_mode, args.run)
     log.info("%d posts, %d comments", result.posts, result.comments)
 
 

@@ -2,27 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``.
+    """The session's ``spark.checkpoint.dir``, or what ``setCheckpointDir`` was given.
 
-    Only a local session without that setting gets a temporary folder; a
-    cluster without it is an error, since a machine's own folder is invisible
-    to the other executors and lost with the machine.
+    Without either there is no scratch table. A folder of the driver's own
+    machine is invisible to the executors and lost with the machine, so none
+    is ever made up here.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="murmura-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -104,6 +104,22 @@ class CatalogStore:
             self.spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", {"name": self.prefix + table})
 
 
+# SQLSTATE of an unknown table or view: the standard, and common databases.
+_NO_TABLE = ("42P01", "42S02", "42X05", "42704")
+
+
+def _is_missing_table(error: Exception) -> bool:
+    """Whether the database said that it has no such table, by SQLSTATE anywhere in the causes."""
+    cause = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    while cause is not None and hasattr(cause, "getCause"):
+        state = cause.getSQLState() if "SQL" in cause.getClass().getName() else None
+        if state in _NO_TABLE:
+            return True
+        cause = cause.getCause()
+    state = error.getSqlState() if isinstance(error, PySparkException) else None
+    return state in _NO_TABLE
+
+
 @dataclass
 class JdbcStore:
     """Tables of a database reached over JDBC.
@@ -134,6 +150,9 @@ class JdbcStore:
         return {**self.properties, "url": self.url, **source, **(partitioning or {})}
 
     def append(self, df: DataFrame, table: str, run: str | None = None) -> DataFrame:
+        """Append ``df``. A database keeps no runs apart, so a repeated run would double its rows."""
+        if run is not None:
+            raise ValueError("a database table has no runs to replace; append without run")
         # Staged, so that the rows are computed once and not again by whoever
         # reads the returned frame.
         rows = stage(df, table)
@@ -144,9 +163,24 @@ class JdbcStore:
         df.write.format("jdbc").options(**self.write_options(table)).mode("overwrite").save()
         return df
 
-    def read(self, table: str, partitioning: Mapping[str, str] | None = None) -> DataFrame:
+    def read(
+        self,
+        table: str,
+        schema: StructType | None = None,
+        partitioning: Mapping[str, str] | None = None,
+    ) -> DataFrame:
+        """The table, or with ``schema`` an empty frame while the database does not have it."""
         options = self.read_options({"dbtable": self.prefix + table}, partitioning)
-        return self.spark.read.format("jdbc").options(**options).load()
+        try:
+            return self.spark.read.format("jdbc").options(**options).load()
+        except Exception as error:
+            if schema is not None and _is_missing_table(error):
+                return self.spark.createDataFrame([], schema)
+            raise
+
+    def reset(self, schemas: Mapping[str, StructType]) -> None:
+        for table, schema in schemas.items():
+            self.replace(self.spark.createDataFrame([], schema), table)
 
     def query(self, sql: str) -> DataFrame:
         """Rows of a query that the database itself runs."""
@@ -155,10 +189,12 @@ class JdbcStore:
 
 
 def run_sql(spark: SparkSession, query: str, views: Mapping[str, DataFrame] = {}) -> DataFrame:
-    """Ad-hoc SQL over the catalog and over the given frames by name."""
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(query)
+    """Ad-hoc SQL over the catalog, and over the given frames as ``{name}``.
+
+    The frames are no views of the session, before or after. Braces that are
+    not names are doubled.
+    """
+    return spark.sql(query, **views) if views else spark.sql(query)
 
 
 def table_or_empty(spark: SparkSession, name: str, schema: StructType) -> DataFrame:
@@ -178,9 +214,9 @@ def processed_preview(posts: DataFrame, n: int = 5) -> DataFrame:
 
 
 def comments_sample(
-    comments: DataFrame, n: int | None = 2000, order: Sequence[str] = ()
+    comments: DataFrame, n: int | None = None, order: Sequence[str] = ()
 ) -> DataFrame:
-    """``n`` comments, the first ones by ``order`` if given; ``None`` takes all."""
+    """All comments, or the first ``n`` by ``order``."""
     if n is None:
         return comments
     return (comments.orderBy(*order) if order else comments).limit(n)

@@ -6,11 +6,15 @@ so it can run on a schedule and goes on after a lost executor or driver.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from murmura.operators.trends import hourly_volume
 from murmura.sources.landing import CSV_READ
+from murmura.sources.tables import FolderStore
 
 
 def stream_landing(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -25,25 +29,41 @@ def stream_table(
     return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(path)
 
 
-def dedupe_stream(df: DataFrame, ts: str, key: str = "id", delay: str = "1 hour") -> DataFrame:
-    """Drop copies of an id that arrive within ``delay`` of each other."""
-    return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+def hourly_counts(batch: DataFrame, ts: str, by: str) -> DataFrame:
+    """Rows per hour and group of one micro-batch."""
+    return hourly_volume(batch, ts, [by])
 
 
-def hourly_volume_stream(
-    df: DataFrame, ts: str, by: str, delay: str = "10 minutes"
-) -> DataFrame:
-    """Rows per hour and group, emitted once when the hour is closed.
+def total_counts(counts: DataFrame, by: str) -> DataFrame:
+    """Rows per hour and group of all micro-batches so far: partial counts added up."""
+    return counts.groupBy("hour_start", by).agg(F.sum("n").alias("n"))
+
 
-    Partial counts are combined within each task before the state is touched,
-    and the state keeps open hours only. ``ts`` may lack a zone; it is then
-    read in the session's, which should be UTC.
+def catch_up_runs(
+    df: DataFrame,
+    store: FolderStore,
+    table: str,
+    checkpoint: str,
+    each: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+) -> None:
+    """Append everything that has arrived to a stored table, a run per micro-batch, then stop.
+
+    A micro-batch that is repeated after a failure replaces its own run. There
+    is no watermark, so nothing is too late: hours that were counted before
+    get a further partial count, and copies of an id that arrive any time
+    later are removed on reading, by ``total_counts`` and ``dedupe_by_id``.
     """
-    # A watermark needs a timestamp with zone; hours keep the type of ``ts``.
-    dated = df.select(F.col(ts).cast("timestamp").alias(ts), by).withWatermark(ts, delay)
-    counted = dated.groupBy(F.window(ts, "1 hour"), by).agg(F.count(F.lit(1)).alias("n"))
-    start = F.col("window.start").cast(df.schema[ts].dataType)
-    return counted.select(start.alias("hour_start"), by, "n")
+
+    def append(batch: DataFrame, number: int) -> None:
+        store.append(each(batch), table, f"batch-{number}")
+
+    query = (
+        df.writeStream.foreachBatch(append)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
 
 
 def catch_up(df: DataFrame, table: str, checkpoint: str) -> None:

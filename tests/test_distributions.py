@@ -21,11 +21,11 @@ def groups():
     }
 
 
-@pytest.mark.parametrize("slices, slice_above", [(2, 0), (8, 100), (64, 0), (64, 10**6)])
-def test_quantiles_are_exact(spark, groups, slices, slice_above):
+@pytest.mark.parametrize("lots, per_range", [(2, 10), (8, 100), (64, 1), (1024, 50), (1024, 10**6)])
+def test_quantiles_are_exact(spark, groups, lots, per_range):
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
     df = frame(spark, groups)
-    got = d.exact_quantiles(df, "x", ["g"], probs, slices, slice_above).collect()
+    got = d.exact_quantiles(df, "x", ["g"], probs, lots, per_range).collect()
     assert {r["g"] for r in got} == set(groups)
     for r in got:
         np.testing.assert_allclose(r["q"], np.quantile(groups[r["g"]], probs), rtol=1e-12)
@@ -37,13 +37,13 @@ def test_cuts_depend_on_the_values_alone(spark, groups):
     rows = [("hot", float(v)) for v in np.random.default_rng(1).normal(size=20000)]
     df = spark.createDataFrame(rows, "g string, x double")
     found = []
-    for order in (df.repartition(3), df.orderBy("x").repartition(11, "x"), df.unionAll(df)):
-        counts = d.value_counts(order, "x", ["g"])
-        found.append(d._cuts(counts, ["g"], 16, 1000).first()["cuts"])
+    for order in (df.repartition(3), df.orderBy("x").repartition(11, "x"), df.coalesce(1)):
+        values = d._values(order, "x", ["g"])
+        found.append(d._cuts(values, ["g"], 64, 1250).first()["cuts"])
     assert found[0] == found[1] == found[2] and len(found[0]) == 15
     shares = np.diff(np.searchsorted(np.sort([v for _, v in rows]), found[0]))
     assert shares.max() < 20000 * 0.4
-    got = d.exact_quantiles(df, "x", ["g"], [0.5], 16, 1000).first()["q"]
+    got = d.exact_quantiles(df, "x", ["g"], [0.5], 64, 1250).first()["q"]
     np.testing.assert_allclose(got, [np.median([v for _, v in rows])])
 
 
@@ -118,3 +118,32 @@ def test_binned_scatter(spark):
     df = spark.createDataFrame(rows, "subreddit string, sentiment double, score double")
     got = {(r["subreddit"], r["x_bin"], r["y_bin"]): r["n"] for r in d.binned_scatter(df).collect()}
     assert got == {("a", 0, 0): 1, ("a", 19, 19): 2, ("b", 10, 10): 1}
+
+
+def test_only_wanted_ranges_are_shuffled(spark):
+    """20,000 values of a hot group: the quartiles need a few ranges, not all rows."""
+    rows = [("hot", float(v)) for v in np.random.default_rng(2).normal(size=20000)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(4)
+    df.write.mode("overwrite").parquet(path := spark.conf.get("spark.checkpoint.dir") + "/values")
+    stored = spark.read.parquet(path)
+    tracker = spark.sparkContext.statusTracker()
+    group = "shuffled-records"
+    spark.sparkContext.setJobGroup(group, group)
+    got = d.box_stats(stored, "x", ["g"], lots=256, per_range=100).collect()
+    spark.sparkContext.setJobGroup("", "")
+    store = spark.sparkContext._jsc.sc().statusStore()
+    stages = {s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds}
+    written = [store.lastStageAttempt(s).shuffleWriteRecords() for s in stages]
+    assert max(written) < 5000
+    np.testing.assert_allclose(got[0]["median"], np.median([v for _, v in rows]))
+
+
+def test_too_many_groups_for_a_broadcast_are_an_error(spark):
+    from pyspark.errors import PySparkException
+
+    from murmura.operators.skew import small
+
+    df = spark.range(11)
+    assert df.join(small(df, 11), "id").count() == 11
+    with pytest.raises(PySparkException, match="more than 10 rows"):
+        df.join(small(df, 10), "id").count()

@@ -158,20 +158,62 @@ def test_no_operator_multiplies_rows(stored, replies):
         keywords.top_keywords(stored, by="subreddit"),
         lexicon_sentiment(stored, {"good": 1.0}),
         cohorts.comment_kpis(stored, replies.drop("subreddit")),
-        prompts.build_prompts(prompts.prompt_context(stored)),
+        prompts.build_prompts(prompts.prompt_context(stored), {"ask": "What?"}, "Role."),
     ]
     for df in frames:
         text = plan(df)
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
-def test_quantiles_read_their_source_once(stored):
-    df = distributions.box_stats(stored, "score")
-    df.collect()
-    final = plan(df).split("== Initial Plan ==")[0]
-    assert final.count("FileScan") == 1 and final.count("ReusedExchange") >= 2
-
-
-def test_lexicon_scores_are_averaged_before_the_shuffle(stored):
+def test_lexicon_scores_need_no_shuffle(stored):
     text = plan(lexicon_sentiment(stored, {"good": 1.0}))
-    assert text.index("partial_avg") < text.index("BroadcastHashJoin")
+    assert "Exchange" not in text and "Join" not in text
+
+
+def test_a_hot_post_is_split(spark, stored):
+    """One post holds 60 percent of the comments: its join is split over several tasks."""
+    thresholds = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {key: spark.conf.get(key, None) for key in thresholds}
+    for key, value in thresholds.items():
+        spark.conf.set(key, value)
+    try:
+        posts = spark.range(100).selectExpr("id", "concat('g', id % 7) AS subreddit")
+        comments = spark.range(20000, numPartitions=6).selectExpr(
+            "id", "if(id % 10 < 6, 5, id % 100) AS post_id", "rand(3) AS score", "uuid() AS body"
+        )
+        for df in (cohorts.with_group(comments, posts), cohorts.cohort_comments(posts, comments)):
+            df.write.format("noop").mode("overwrite").save()
+            found = df.groupBy("post_id").count()
+            assert {r["count"] for r in found.collect() if r["post_id"] == 5} == {12000}
+            final = df.select("body")
+            final.collect()
+            assert "skew=true" in plan(final)
+        best = cohorts.top_comments_per_group(posts, comments, 3)
+        got = best.collect()
+        assert len(got) == 21
+        joined = [line for line in plan(best).splitlines() if "SortMergeJoin" in line]
+        assert len(joined) <= 2
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_building_a_plan_runs_no_job(spark, stored, replies):
+    group = "building"
+    spark.sparkContext.setJobGroup(group, group)
+    distributions.box_stats(stored, whisker="tukey")
+    distributions.box_outliers(stored)
+    distributions.histogram(stored, by=["subreddit"])
+    keywords.top_keywords(stored, stopwords=spark.createDataFrame([("good",)], "word string"))
+    lexicon_sentiment(stored, {"good": 1.0})
+    cohorts.top_comments(stored, replies)
+    cohorts.top_comments_per_group(stored, replies.drop("subreddit"))
+    prompts.build_prompts(prompts.prompt_context(stored), {"ask": "What?"}, "Role.")
+    spark.sparkContext.setJobGroup("", "")
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []

@@ -58,7 +58,33 @@ def test_prompts(contexts):
     row = got.filter("subreddit = 'b'").first()
     context = contexts.filter("subreddit = 'b'").first()["context"]
     assert row["prompt"] == f"Role.\n\nData (CSV):\n{context}\n\nInstruction: What is new?"
-    assert p.build_prompts(contexts).count() == 6
+    two = {"ask": "What is new?", "more": "And then?"}
+    assert p.build_prompts(contexts, two, "Role.").count() == 4
+
+
+def test_questions_as_a_table(spark, contexts):
+    asked = [("a", "q1", "Why?"), ("a", "q2", "Who?"), ("b", "q1", "When?"), ("zz", "q1", "Where?")]
+    questions = spark.createDataFrame(asked, "subreddit string, name string, text string")
+    got = p.build_prompts(contexts, questions, "Role.").collect()
+    assert {(r["subreddit"], r["instruction"], r["prompt"].rsplit(": ", 1)[1]) for r in got} == set(asked[:3])
+
+
+def test_all_groups_in_pages(contexts):
+    whole = p.joint_contexts(contexts).first()
+    frame = pd.read_csv(io.StringIO(whole["context"]))
+    assert whole["page"] == 0 and whole["n_rows"] == 3
+    assert frame["subreddit"].tolist() == ["a", "a", "b"]
+    pages = p.joint_contexts(contexts, 1).orderBy("page").collect()
+    assert [(r["page"], r["n_rows"]) for r in pages] == [(0, 2), (1, 1)]
+
+
+def test_a_post_loaded_twice_is_one_place_each(spark):
+    rows = [(1, "a", "t", "x", 1.0, "100"), (1, "a", "t", "y", 1.0, "100"), (None, "a", "n", "z", 1.0, "200")]
+    posts = spark.createDataFrame(
+        rows, "id int, subreddit string, title string, body string, score double, created_utc string"
+    )
+    assert p.prompt_context(posts, 2).first()["n_rows"] == 2
+    assert "n,z" in p.prompt_context(posts, 1).first()["context"]
 
 
 def test_transcripts(spark):
@@ -83,3 +109,16 @@ def test_long_transcripts_go_on_over_pages(spark):
     whole = "\n\n".join(r["transcript"] for r in pages)
     assert [r["page"] for r in pages] == [0, 1, 2]
     assert whole == "\n\n".join(f"User:\nm{i}" for i in range(2500))
+
+
+def test_messages_without_a_turn_stay(spark):
+    rows = [(1, 0, "user", "first"), (1, None, "user", "lost b"), (1, None, None, "lost a"), (3, None, "user", "only")]
+    df = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")
+    got = {(r["conv_id"], r["page"]): r["transcript"] for r in p.render_transcripts(df).collect()}
+    assert got == {
+        (1, 0): "User:\nfirst",
+        (1, -1): "User:\nlost a\n\nUser:\nlost b",
+        (3, -1): "User:\nonly",
+    }
+    pages = p.render_transcripts(df, page_turns=1).filter("conv_id = 1").orderBy("page").collect()
+    assert [r["page"] for r in pages] == [-2, -1, 0]

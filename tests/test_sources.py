@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pandas as pd
 import pytest
 from pyspark.errors import AnalysisException
@@ -144,8 +146,7 @@ def test_previews(spark):
     empty = spark.createDataFrame([], POSTS)
     assert tables.processed_preview(empty).columns == ["title", "clean_body", "sentiment", "score"]
     df = spark.range(5000)
-    assert tables.comments_sample(df).count() == 2000
-    assert tables.comments_sample(df, None).count() == 5000
+    assert tables.comments_sample(df).count() == 5000
     assert [r[0] for r in tables.comments_sample(df, 2, ["id"]).collect()] == [0, 1]
 
 
@@ -177,6 +178,52 @@ def test_stage_gives_true_sizes(spark, rows):
     assert "BroadcastHashJoin" in plan
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+def test_scratch_needs_a_shared_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert scratch.scratch_dir(spark) == folder
+    nothing = SimpleNamespace(get=lambda key, default: default)
+    bare = SimpleNamespace(conf=nothing, sparkContext=SimpleNamespace(getCheckpointDir=lambda: None))
+    with pytest.raises(RuntimeError):
+        scratch.scratch_dir(bare)
+    bare.sparkContext.getCheckpointDir = lambda: "hdfs:///given/"
+    assert scratch.scratch_dir(bare) == "hdfs:///given"
+
+
+def test_frames_of_ad_hoc_sql_are_no_views(spark, rows):
+    spark.range(7).createOrReplaceTempView("mine")
+    found = tables.run_sql(spark, "SELECT count(*) AS n FROM {mine}", {"mine": spark.range(3)})
+    assert rows(found) == [(3,)]
+    assert spark.table("mine").count() == 7
+
+
+def test_jdbc_appends_keep_no_runs(spark):
+    store = tables.JdbcStore(spark, "jdbc:x:y")
+    with pytest.raises(ValueError):
+        store.append(spark.range(1), "t", "run-1")
+
+
+class Cause:
+    """What a driver's exception looks like from Python."""
+
+    def __init__(self, state, cause=None):
+        self.state, self.cause = state, cause
+
+    def getSQLState(self):
+        return self.state
+
+    def getCause(self):
+        return self.cause
+
+    def getClass(self):
+        return self
+
+    def getName(self):
+        return "java.sql.SQLException" if self.state else "java.lang.RuntimeException"
+
+
+def test_a_missing_jdbc_table_is_told_by_its_state():
+    error = RuntimeError()
+    error.java_exception = Cause(None, Cause("42P01"))
+    assert tables._is_missing_table(error)
+    error.java_exception = Cause(None, Cause("28000"))
+    assert not tables._is_missing_table(error)

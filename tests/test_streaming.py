@@ -2,9 +2,11 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from murmura.operators.ranking import dedupe_by_id
 from murmura.operators.scoring import process_posts
 from murmura.schemas import POSTS_RAW
 from murmura.sources.landing import write_landing
+from murmura.sources.tables import FolderStore
 from murmura.streaming import landing_stream as s
 
 
@@ -30,35 +32,34 @@ def test_new_files_are_processed_once(spark, tmp_path, rows):
     assert [r[0] for r in run()] == ["1", "2", "3"]
 
 
-def test_copies_are_dropped_across_runs(spark, tmp_path, rows):
-    folder, table, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+def test_copies_are_dropped_on_reading_and_late_rows_stay(spark, tmp_path, rows):
+    folder, progress = str(tmp_path / "in"), str(tmp_path / "progress")
+    store = FolderStore(spark, str(tmp_path / "tables"))
 
     def run():
-        arriving = s.stream_landing(spark, f"{folder}/*", POSTS_RAW)
-        timed = arriving.withColumn("at", F.timestamp_seconds(F.col("created_utc").cast("bigint")))
-        s.catch_up(s.dedupe_stream(timed, "at"), table, progress)
-        return rows(spark.read.parquet(table), "id")
+        s.catch_up_runs(s.stream_landing(spark, f"{folder}/*", POSTS_RAW), store, "posts", progress)
+        return rows(dedupe_by_id(store.read("posts")), "id")
 
-    write_landing(raw(spark, 1, 1, 2), f"{folder}/one")
-    assert run() == [("1",), ("2",)]
-    write_landing(raw(spark, 2, 3), f"{folder}/two")
-    assert run() == [("1",), ("2",), ("3",)]
+    write_landing(raw(spark, 100_000, 100_000, 200_000), f"{folder}/one")
+    assert run() == [("100000",), ("200000",)]
+    write_landing(raw(spark, 3, 200_000), f"{folder}/two")  # the first is more than a day older
+    assert run() == [("100000",), ("200000",), ("3",)]
 
 
-def test_hours_are_emitted_when_closed(spark, tmp_path, rows):
-    folder, table, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+def test_hours_of_files_that_land_last_are_counted(spark, tmp_path, rows):
+    folder, progress = str(tmp_path / "in"), str(tmp_path / "progress")
+    store = FolderStore(spark, str(tmp_path / "tables"))
     schema = "at timestamp_ntz, g string"
 
     def arrive(*times):
         df = spark.createDataFrame([(f"2024-01-01 {t}:00", "a") for t in times], "at string, g string")
         df.withColumn("at", F.col("at").cast("timestamp_ntz")).write.mode("append").parquet(folder)
         stream = s.stream_table(spark, folder, spark.createDataFrame([], schema).schema)
-        s.catch_up(s.hourly_volume_stream(stream, "at", "g"), table, progress)
-        return rows(spark.read.parquet(table))
+        s.catch_up_runs(stream, store, "hours", progress, lambda batch: s.hourly_counts(batch, "at", "g"))
+        return rows(s.total_counts(store.read("hours"), "g"))
 
     def hour(h):
         return datetime(2024, 1, 1, h)
 
-    assert arrive("00:10", "00:50", "01:05") == []
-    assert arrive("00:59", "01:30") == [(hour(0), "a", 3)]
-    assert arrive("02:15") == [(hour(0), "a", 3), (hour(1), "a", 2)]
+    assert arrive("05:10", "05:50") == [(hour(5), "a", 2)]
+    assert arrive("00:59", "05:30") == [(hour(0), "a", 1), (hour(5), "a", 3)]

@@ -12,10 +12,10 @@ from murmura.operators.scoring import (
     lexicon_sentiment,
     process_comments,
     process_posts,
+    read_lexicon,
     with_clean_text,
     with_sentiment,
 )
-from murmura.operators.skew import broadcast_if_small, spread
 from murmura.schemas import COMMENTS, COMMENTS_RAW, POSTS, POSTS_RAW
 
 DOCUMENTS = "/root/testdata/sf0.001/documents.parquet"
@@ -45,16 +45,6 @@ def test_keywords_match_python(documents, counted):
     assert {(r["subreddit"], r["word"]): r["freq"] for r in got} == dict(counted)
 
 
-def test_top_keywords_break_ties_by_word(documents, counted):
-    total = Counter()
-    for (_, word), n in counted.items():
-        total[word] += n
-    want = sorted(total.items(), key=lambda x: (-x[1], x[0]))[:20]
-    got = top_keywords(spread(documents, "id"), 20).collect()
-    assert [(r["word"], r["freq"]) for r in got] == want
-    assert top_keywords(documents, 3, by="subreddit").count() == 60
-
-
 def test_stopwords_as_a_frame(spark, documents):
     listed = spark.createDataFrame([(w,) for w in STOPWORDS], "w string")
     key = lambda df: {(r["subreddit"], r["word"], r["freq"]) for r in df.collect()}
@@ -68,17 +58,18 @@ def test_missing_texts_have_no_words(spark, rows):
     assert rows(keyword_counts(df)) == [("solo", 1), ("title", 1)]
 
 
-def test_large_tables_are_not_broadcast(spark):
-    df = spark.range(1000).selectExpr("cast(id AS string) AS word")
-    assert broadcast_if_small(df, max_bytes=10) is df
-    assert broadcast_if_small(df) is not df
+def test_top_keywords_break_ties_by_word(documents, counted):
+    total = Counter()
+    for (_, word), n in counted.items():
+        total[word] += n
+    want = sorted(total.items(), key=lambda x: (-x[1], x[0]))[:20]
+    got = top_keywords(documents.repartition(3, "id"), 20).collect()
+    assert [(r["word"], r["freq"]) for r in got] == want
+    assert top_keywords(documents, 3, by="subreddit").count() == 60
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_lexicon_matches_brute_force(spark, documents, small, monkeypatch):
+def test_lexicon_matches_brute_force(spark, documents):
     lexicon = {"that": -1.0, "with": 0.5, "from": 4.0, "have": 0.1}
-    if not small:
-        monkeypatch.setattr("murmura.operators.scoring.broadcast_if_small", lambda df: df)
     got = lexicon_sentiment(documents, lexicon, "body")
     want = {}
     for row in documents.collect():
@@ -88,12 +79,20 @@ def test_lexicon_matches_brute_force(spark, documents, small, monkeypatch):
     assert {r["id"]: r["sentiment"] for r in got.collect()} == pytest.approx(want)
 
 
-def test_lexicon_of_empty_texts(spark, rows):
-    df = spark.createDataFrame([(1, ""), (2, None), (3, "good GOOD bad")], "id int, clean_body string")
-    lexicon = spark.createDataFrame(
-        [("good", 1.0), ("good", 0.5), ("bad", -1.0)], "word string, polarity double"
-    )
-    assert rows(lexicon_sentiment(df, lexicon)) == [(1, 0.0), (2, 0.0), (3, pytest.approx(1 / 6))]
+def test_lexicon_scores_every_row_by_itself(spark, rows):
+    texts = [(1, ""), (2, None), (3, "good GOOD bad"), (3, "bad"), (None, "good"), (None, "bad bad")]
+    df = spark.createDataFrame(texts, "id int, clean_body string").withColumn("clean_body", F.lower("clean_body"))
+    got = rows(lexicon_sentiment(df, {"good": 0.75, "bad": -1.0}).select("id", "sentiment"))
+    third = pytest.approx(1 / 6)
+    assert got == [(1, 0.0), (2, 0.0), (3, -1.0), (3, third), (None, -1.0), (None, 0.75)]
+
+
+def test_lexicon_file(spark, tmp_path):
+    path = str(tmp_path / "lexicon.csv")
+    (tmp_path / "lexicon.csv").write_text("word,polarity\ngood,1.0\ngood,0.5\nbad,-1.0\nodd,\n")
+    assert read_lexicon(spark, path) == {"good": 0.75, "bad": -1.0}
+    with pytest.raises(ValueError):
+        read_lexicon(spark, path, max_words=1)
 
 
 def test_process_posts(spark):
