@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from acceptance.bindings import prepared
 from murmura.llm import decontamination, mixing, near_dedup, quality_classifier, secret_scan
 from murmura.llm.queries import benchmark, documents, labels
-from murmura.session import tune
 from murmura.sources.scratch import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -20,24 +20,24 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
-    known = labels(tune(spark), sf_dir).select("doc_id", F.col("quality").alias("label"))
+    known = labels(prepared(spark), sf_dir).select("doc_id", F.col("quality").alias("label"))
     return quality_classifier.good_documents(docs, known).select(COLUMNS)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: five words, a similarity of 0.8 or more."""
-    tune(spark)
+    prepared(spark)
     return near_dedup.deduplicated(docs).select(COLUMNS)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no notable share of benchmark passages."""
-    return decontamination.decontaminated(docs, benchmark(tune(spark), sf_dir)).select(COLUMNS)
+    return decontamination.decontaminated(docs, benchmark(prepared(spark), sf_dir)).select(COLUMNS)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets masked in their texts."""
-    tune(spark)
+    prepared(spark)
     found = secret_scan.secrets(docs)
     masked = secret_scan.redacted(F.col("text"), F.col("secrets"))
     hit = F.size("secrets") > 0
@@ -52,7 +52,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix in order: a row per copy taken, with the number of its words that belong to the mix."""
-    tune(spark)
+    prepared(spark)
     mix = mixing.mixture(mixing.fair_queue(docs))
     return mix.select("doc_id", "source", "size", "target", "copy", "finish", "words")
 
@@ -71,7 +71,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other over the documents of a folder."""
-    docs = documents(spark, sf_dir)
+    docs = documents(prepared(spark), sf_dir)
     for name, function in STAGES:
         docs = stage(function(spark, docs, sf_dir), name)
     return docs

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from acceptance.bindings import prepared
 from murmura.llm import (
     chat_format,
     decontamination,
@@ -19,7 +20,6 @@ from murmura.llm import (
     quality_rules,
     secret_scan,
 )
-from murmura.session import tune
 from murmura.sources.scratch import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,7 +29,7 @@ def query(function):
     """Register ``function`` under its own name."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return function(tune(spark), sf_dir)
+        return function(prepared(spark), sf_dir)
 
     QUERIES[function.__name__] = run
     return function
