@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmura.llm.hashing import LETTERS_DIGITS, Words, chunks, grams, split_words
-from murmura.llm.text import join_same
+from murmura.llm.text import join_same, without
 from murmura.sources.scratch import stage
 
 WINDOW = 13
@@ -247,7 +247,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without the contaminated ones."""
-    bad = contamination(docs, benchmark).filter("contaminated")
-    bad = bad.select("doc_id", F.col("version").alias("_version")).distinct()
-    versioned = docs.withColumn("_version", F.xxhash64("text"))
-    return join_same(versioned, bad, ["doc_id", "_version"], "left_anti").drop("_version")
+    return without(docs, contamination(docs, benchmark).filter("contaminated"))

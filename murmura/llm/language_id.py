@@ -14,9 +14,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from murmura.operators.ranking import top_k_per_group
 from murmura.sources.scratch import stage
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -206,9 +207,9 @@ def trained(
     only these, a number per language and piece, come to the driver.
     """
     labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-    place = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = labelled.select("doc_id", "lang").withColumn("place", F.row_number().over(place))
-    ids = stage(ids.filter(F.col("place") <= docs_per_language).select("doc_id", "lang"), "language_sample")
+    order = [F.xxhash64("doc_id"), F.asc("doc_id")]
+    ids = top_k_per_group(labelled.select("doc_id", "lang"), ["lang"], order, docs_per_language)
+    ids = stage(ids.select("doc_id", "lang"), "language_sample")
     texts = labelled.join(ids, ["doc_id", "lang"], "left_semi").select("lang", "text")
     schema = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmura.llm.hashing import NOT_SPACE, chunks, split_words
-from murmura.llm.text import join_same
+from murmura.llm.text import join_same, without
 from murmura.sources.scratch import stage
 
 MAX_LABELLED = 20_000
@@ -221,7 +221,4 @@ def quality(
 
 def good_documents(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that are kept."""
-    bad = quality(docs, labels, **settings).filter("NOT kept")
-    bad = bad.select("doc_id", F.col("version").alias("_version")).distinct()
-    versioned = docs.withColumn("_version", F.xxhash64("text"))
-    return join_same(versioned, bad, ["doc_id", "_version"], "left_anti").drop("_version")
+    return without(docs, quality(docs, labels, **settings).filter("NOT kept"))

@@ -1,0 +1,201 @@
+"""Quality rules, mixing and secret scans."""
+
+import hashlib
+import re
+from collections import Counter
+
+from made_texts import prose
+from pyspark.sql import functions as F
+
+from murmura.llm import mixing, quality_rules, secret_scan
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def rules_by_hand(text):
+    words = WORD.findall(text or "")
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    many = Counter(windows)
+    repeated = {j for i, w in enumerate(windows) if many[w] > 1 for j in range(i, i + 8)}
+    lines = [line for line in (text or "").split("\n") if WORD.search(line)]
+    return (
+        len(words),
+        sum(map(len, words)),
+        sum(c in "#*$%&|<>" for c in text or ""),
+        len(lines) - len(set(lines)),
+        len(repeated),
+        len(words) < 20 or 100 * len(repeated) > 30 * len(words),
+    )
+
+
+def test_rules_of_odd_rows(odd, odd_rows):
+    got = quality_rules.line_frequency(odd)
+    figures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    want = sorted((repr(row[0]), *rules_by_hand(row[1])) for row in odd_rows)
+    assert sorted((repr(r["doc_id"]), *(r[c] for c in figures)) for r in got.collect()) == want
+
+
+def test_repeats_within_a_text(spark):
+    part = prose(9, 12)
+    texts = [f"{part} {part} {prose(5, 30)}", "a a a a a a a a a a", f"{part}\n{part}\n\n x ## |\n{part}"]
+    df = spark.createDataFrame([(i, t, "h") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    for row in quality_rules.line_frequency(df).collect():
+        want = rules_by_hand(texts[row["doc_id"]])
+        assert tuple(row[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == want[:5]
+
+
+def test_lines_that_many_documents_of_a_host_share(spark):
+    banner = "All rights reserved 2024, read our terms of use before you go on with this page"
+    rows = [(i, f"{prose(i, 25)}\n{banner.replace('2024', str(2000 + i))}", "big") for i in range(30)]
+    rows += [(100 + i, f"{banner} {banner}\n{banner}\n{prose(i, 3)}", "big") for i in range(2)]  # depleted
+    rows += [(200 + i, f"{prose(i, 5)}\n{banner}\n{banner}", "small") for i in range(5)]  # rare there
+    rows += [(300 + i, f"{prose(77, 25)}\n{prose(78, 25)}", "copies") for i in range(40)]  # one document
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = {r["doc_id"]: r for r in quality_rules.line_frequency(df).collect()}
+    assert all(got[i]["kept"] and got[i]["n_removed"] == 16 for i in range(30))
+    assert not got[100]["kept"] or got[100]["n_removed"] < 40
+    assert got[100]["n_removed"] == 16
+    assert all(got[i]["n_removed"] == 0 for i in range(200, 205))
+    assert all(got[i]["kept"] and got[i]["n_removed"] == 0 for i in range(300, 340))
+    strict = {r["doc_id"]: r for r in quality_rules.line_frequency(df, max_docs=0, min_left_percent=50).collect()}
+    assert not any(r["kept"] for r in strict.values())
+    assert strict[300]["n_removed"] == 50
+
+
+def test_repeated_rows_lose_their_lines_once(spark):
+    rows = [(i % 3, f"{prose(i % 3, 20)}\nshared line of words", "h") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = quality_rules.line_frequency(df, max_docs=2).collect()
+    assert len(got) == 9 and {r["n_removed"] for r in got} == {4}
+
+
+def test_empty_tables(nothing):
+    assert quality_rules.line_frequency(nothing).collect() == []
+    assert mixing.fair_queue(nothing).collect() == []
+    assert mixing.mixture(mixing.fair_queue(nothing)).collect() == []
+    assert secret_scan.secrets(nothing).collect() == []
+
+
+def targets_by_hand(sizes):
+    names = sorted(sizes, key=lambda s: (s is None, s))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    full, left = set(), sum(sizes.values())
+    while True:
+        free = [s for s in names if s not in full]
+        rest = left - sum(3 * sizes[s] for s in full)
+        share = {s: weight[s] * rest / sum(weight[f] for f in free) for s in free}
+        over = {s for s in free if share[s] >= 3 * sizes[s]}
+        if not over:
+            return share | {s: 3 * sizes[s] for s in full}
+        full |= over
+
+
+def test_mix_meets_the_targets(spark):
+    sources = ["a", "b", "c", None, "d"]
+    rows = [(i, prose(i, 1 + i * 7 % 90), sources[min(i % 17, 4)]) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = mixing.fair_queue(df).collect()
+    sizes = Counter()
+    for _, text, source in rows:
+        sizes[source] += len(text.split())
+    want = targets_by_hand(sizes)
+    for source in sources:
+        own = [r for r in got if r["source"] == source]
+        assert abs(own[0]["target"] - want[source]) < 1e-6
+        assert abs(sum(r["taken"] for r in own) - want[source]) < 1
+        assert all(r["taken"] <= 3 * r["size"] for r in own)
+    again = mixing.fair_queue(df.repartition(7)).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, again))
+    mix = mixing.mixture(mixing.fair_queue(df)).collect()
+    finish = [r["finish"] for r in mix]
+    assert finish == sorted(finish)
+    taken = Counter()
+    for r in mix:
+        taken[r["doc_id"]] += r["words"]
+    assert taken == Counter({r["doc_id"]: r["taken"] for r in got if r["taken"]})
+    # Half-way through, every source has had about half of its target.
+    for source in sources:
+        upto = sum(r["words"] for r in mix if r["source"] == source and r["finish"] <= 0.5)
+        assert abs(upto - want[source] / 2) <= 90
+
+
+def test_mix_of_odd_rows(odd, odd_rows):
+    got = mixing.fair_queue(odd).collect()
+    want = sorted((repr(r[0]), len(WORD.findall(r[1] or ""))) for r in odd_rows)
+    assert sorted((repr(r["doc_id"]), r["size"]) for r in got) == want
+    for source in ("a", "b", "c", None):
+        own = [r for r in got if r["source"] == source]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) < 1
+
+
+BASE = {
+    "assign": re.compile(
+        r"""((?a:(?i:password|passwd|secret|token|api_?key)))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    ),
+    "access": re.compile(r"AKIA[A-Z0-9]+"),
+    "hex": re.compile(r"[0-9a-f]+"),
+}
+LEAST = {"access": 20, "hex": 24}
+
+
+def base_by_hand(text):
+    out = []
+    for place, (kind, rule) in enumerate(BASE.items()):
+        for m in rule.finditer(text or ""):
+            if len(m.group(2)) >= 6 if kind == "assign" else len(m.group()) >= LEAST[kind]:
+                out.append((m.start(), place, m.end(), kind))
+    return [(kind, start, end) for start, _, end, kind in sorted(out)]
+
+
+HEX = hashlib.sha256(b"x").hexdigest()
+SECRETS = [
+    f"😀 password = {HEX[:10]} é Token:'{HEX[10:30]}' tokens=abc",
+    "token=token=abcdef secret=token: abcdefg api_key=\"short\" APIKEY: 1234567",
+    f"AKIA{'A' * 15} AKIA{'B' * 16}AKIA{'C' * 20} {HEX[:23]} {HEX[:24]} x{HEX}y",
+    "secret=secret=secret=",
+    f"-----BEGIN RSA PRIVATE KEY----- ghp_{'a' * 36} xoxb-1234567890-abc {'0' * 30}",
+    None,
+    "",
+    " ".join(f"password=value{i:04d}" for i in range(2000)),
+]
+
+
+def test_base_secrets_match_the_rules(spark, odd, odd_rows):
+    df = spark.createDataFrame(list(enumerate(SECRETS)), "doc_id long, text string")
+    for row in secret_scan.secrets(df).collect():
+        found = [(s["kind"], s["start"], s["end"]) for s in row["secrets"]]
+        kinds = [rule.kind for rule in secret_scan.BASE]
+        assert [s for s in found if s[0] in kinds] == base_by_hand(SECRETS[row["doc_id"]])
+        assert len({s[0] for s in found} - set(kinds)) == (3 if row["doc_id"] == 4 else 0)
+    found = secret_scan.secrets(odd)
+    assert found.count() == len(odd_rows) and found.filter("size(secrets) > 0").count() == 0
+
+
+def test_ledger_scans_only_new_blobs_and_versions(spark, tmp_path):
+    ledger = str(tmp_path / "ledger")
+    versions = [(i % 3, f"token=abcdef{i % 2}") for i in range(40)]
+    df = spark.createDataFrame(versions, "doc_id long, text string")
+    assert secret_scan.secrets(df, ledger, "1").filter("size(secrets) = 1").count() == 40
+    first = secret_scan.read_ledger(spark, ledger)
+    assert first.count() == 2 * len(secret_scan.RULES)  # two texts, however many paths
+    more = spark.createDataFrame(versions + [(9, "token=xyzxyz")], "doc_id long, text string")
+    assert secret_scan.secrets(more, ledger, "2").filter("size(secrets) = 1").count() == 41
+    assert secret_scan.read_ledger(spark, ledger).count() == 3 * len(secret_scan.RULES)
+    newer = (secret_scan.Rule("assign", r"token=[a-z]+", version=2), *secret_scan.RULES[1:])
+    got = secret_scan.secrets(more, ledger, "3", newer)
+    assert secret_scan.read_ledger(spark, ledger).count() == 3 * len(secret_scan.RULES) + 3
+    assert {s["end"] for r in got.collect() for s in r["secrets"]} == {12}
+    secret_scan.secrets(more, ledger, "3", newer)  # a repeated run
+    assert secret_scan.read_ledger(spark, ledger).count() == 3 * len(secret_scan.RULES)
+
+
+def test_redaction(spark):
+    df = spark.createDataFrame(list(enumerate(SECRETS)), "doc_id long, text string")
+    masked = secret_scan.secrets(df).withColumn("out", secret_scan.redacted(F.col("text"), F.col("secrets")))
+    for row in masked.collect():
+        want, at = "", 0
+        for s in row["secrets"]:
+            if s["start"] >= at:
+                want += row["text"][at : s["start"]] + "[SECRET]"
+            at = max(at, s["end"])
+        assert row["out"] == (want + row["text"][at:] if row["secrets"] else row["text"])
