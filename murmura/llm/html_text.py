@@ -38,27 +38,26 @@ _CUT_TAG = re.compile(r"<[A-Za-z/!][^<>]*\Z")
 
 
 class _Page(HTMLParser):
-    """Collects the lines of a page: text, number of tags, region, and whether it is left out.
+    """Collects the lines of a page: text, number of tags, region, and whether that is an article.
 
     A line is what stands between two tags of block elements. Its region is
     the outermost article or main element around it, else the innermost
-    other container.
+    other container. Text inside elements that are left out makes no line.
     """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool, bool]] = []
+        self.lines: list[tuple[str, int, int, bool]] = []
         self.open: list[tuple[str, bool, int]] = []
         self.parts: list[str] = []
-        self.tags = self.number = 0
+        self.tags = self.number = self.out = 0
         self.in_head = False
 
     def _end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            region, article = self._region()
-            self.lines.append((text, max(1, self.tags), region, article, self._left_out()))
-        if text or self.parts:
+            self.lines.append((text, max(1, self.tags), *self._region()))
+        if self.parts:
             self.tags = 0
         self.parts.clear()
 
@@ -71,9 +70,6 @@ class _Page(HTMLParser):
                 return number, False
         return 0, False
 
-    def _left_out(self) -> bool:
-        return any(out for _, out, _ in self.open)
-
     def _is_out(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in NEVER:
             return True
@@ -100,11 +96,15 @@ class _Page(HTMLParser):
                     return True
         return False
 
+    def _cut(self, place: int) -> None:
+        self.out -= sum(out for _, out, _ in self.open[place:])
+        del self.open[place:]
+
     def _close(self, tag: str) -> None:
         for place in range(len(self.open) - 1, -1, -1):
             name = self.open[place][0]
             if name == tag:
-                del self.open[place:]
+                self._cut(place)
                 return
             if name in REGIONS and tag not in BLOCKS:
                 return
@@ -124,15 +124,17 @@ class _Page(HTMLParser):
         elif tag == "head":
             self.in_head = True
         if tag not in VOID:
+            out = self._is_out(tag, attrs)
             self.number += 1
-            self.open.append((tag, self._is_out(tag, attrs), self.number))
+            self.out += out
+            self.open.append((tag, out, self.number))
 
     def _close_above(self, tag: str) -> None:
         """End an open element of this name unless a container lies in between."""
         for place in range(len(self.open) - 1, -1, -1):
             name = self.open[place][0]
             if name == tag:
-                del self.open[place:]
+                self._cut(place)
                 return
             if name in REGIONS or name in ("ul", "ol", "table", "dl", "nav", "aside", "blockquote"):
                 return
@@ -154,9 +156,10 @@ class _Page(HTMLParser):
         return j
 
     def handle_data(self, data):
-        self.parts.append(data)
+        if not self.out:
+            self.parts.append(data)
 
-    def finish(self) -> list[tuple[str, int, int, bool, bool]]:
+    def finish(self) -> list[tuple[str, int, int, bool]]:
         self.close()
         self._end_line()
         return self.lines
@@ -188,41 +191,35 @@ def threshold(values: np.ndarray) -> float:
 def main_text(html: str) -> str:
     """The content regions of a page, blocks joined by an empty line.
 
-    Each line's ratio of text to tags is smoothed over its neighbours, and a
-    threshold between two clusters tells content lines. A region is content
-    when content lines hold at least half of its text, and is then taken
-    whole, short lines included. Lines inside menus, page headers, footers,
-    side bars, forms, adverts, notices and reader comments have no ratio and
-    never belong to a region. If an article or main element is content,
-    regions outside such elements are not; if no region is content, the one
-    with most text is.
+    Each line's ratio of text to tags is smoothed over its neighbours in the
+    same region, and a threshold between two clusters tells content lines. A
+    region is content when content lines hold at least half of its text, and
+    is then taken whole, short lines included. Menus, page headers, footers,
+    side bars, forms, adverts, notices and reader comments belong to no
+    region. If an article or main element is content, regions outside such
+    elements are not; if no region is content, the one with most text is.
     """
     page = _Page()
     page.feed(_CUT_TAG.sub("", html))
     lines = page.finish()
     if not lines:
         return ""
-    ratios = np.array([0.0 if out else len(text) / tags for text, tags, _, _, out in lines])
-    kept = [i for i, line in enumerate(lines) if not line[4]]
-    if not kept:
-        return ""
-    ratios = smoothed(ratios)
-    cut = threshold(ratios[kept])
-    total: dict[int, int] = {}
-    content: dict[int, int] = {}
-    articles = set()
-    for i in kept:
-        text, _, region, article, _ = lines[i]
-        total[region] = total.get(region, 0) + len(text)
-        content[region] = content.get(region, 0) + (len(text) if ratios[i] > cut else 0)
-        if article:
-            articles.add(region)
-    chosen = {region for region in total if 2 * content[region] >= total[region]}
+    regions: dict[int, list[int]] = {}
+    for i, line in enumerate(lines):
+        regions.setdefault(line[2], []).append(i)
+    ratios = np.array([len(text) / tags for text, tags, _, _ in lines])
+    for own in regions.values():
+        ratios[own] = smoothed(ratios[own])
+    content = ratios > threshold(ratios)
+    articles = {region for _, _, region, article in lines if article}
+    total = {region: sum(len(lines[i][0]) for i in own) for region, own in regions.items()}
+    dense = {region: sum(len(lines[i][0]) for i in own if content[i]) for region, own in regions.items()}
+    chosen = {region for region in regions if 2 * dense[region] >= total[region]}
     if chosen & articles:
         chosen &= articles
     if not chosen:
-        chosen = {max(articles & total.keys() or total, key=total.__getitem__)}
-    return "\n\n".join(lines[i][0] for i in kept if lines[i][2] in chosen)
+        chosen = {max(articles or total, key=total.__getitem__)}
+    return "\n\n".join(line[0] for line in lines if line[2] in chosen)
 
 
 _TEXT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
