@@ -276,12 +276,11 @@ def near_duplicates(
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     signed = stage(texts.mapInArrow(*_signatures(shingle, bands, rows)), "signatures")
-    classes = (
-        signed.filter("n_shingles > 0")
-        .groupBy("n_shingles", "set_a", "set_b")
-        .agg(F.min("doc_id").alias("chief"))
-    )
     key = ["n_shingles", "set_a", "set_b"]
+    # Grouped by a dependent key as well, so that the join that follows brings
+    # its own exchange and adaptive execution can split a very large class.
+    classes = signed.filter("n_shingles > 0").groupBy(*key, F.hash("set_a").alias("dependent"))
+    classes = classes.agg(F.min("doc_id").alias("chief")).drop("dependent")
     members = stage(
         signed.drop("bands").join(classes, key, "left").select("doc_id", "n_shingles", "chief"), "members"
     )

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmura.llm.hashing import NOT_SPACE, chunks, split_words
+from murmura.llm.sampling import bounded_sample
 from murmura.llm.text import join_same, without
 from murmura.sources.scratch import stage
 
@@ -114,7 +115,7 @@ def fitted(features: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABEL
     known = labels.filter("doc_id IS NOT NULL AND label IS NOT NULL").select("doc_id", "label")
     known = known.groupBy("doc_id").agg(F.max("label").cast("double").alias("label"))
     rows = features.join(known, "doc_id").select("doc_id", "version", "label", "features")
-    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "version").limit(max_labelled)
+    sample = bounded_sample(rows, max_labelled, F.xxhash64("doc_id"), "doc_id", "version")
     sample = stage(sample.select("label", "features"), "labelled")
     n, good = sample.agg(F.count("label"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if good in (0, n):

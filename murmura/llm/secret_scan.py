@@ -135,7 +135,10 @@ def findings(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             F.col("kind").alias("kind"),
         ),
     )
-    gathered = current.groupBy("blob").agg(F.flatten(F.collect_list(each)).alias("spans"))
+    # A dependent key, so that a join with the paths can split a blob of very many paths.
+    gathered = current.groupBy("blob", F.hash("blob").alias("dependent")).agg(
+        F.flatten(F.collect_list(each)).alias("spans")
+    )
     return gathered.select("blob", F.array_sort("spans").alias("spans"))
 
 
