@@ -370,6 +370,10 @@ ORACLES: dict[str, str] = {
     "landed_row_counts": f"""WITH {POSTS}
         SELECT 'posts' AS name, count(*) AS n_read, count(*) AS n_reported FROM posts
         UNION ALL SELECT 'comments', count(*), count(*) FROM conversations""",
+    "landing_previews": f"""WITH {POSTS}
+        SELECT count(*) AS n_posts, least(count(*), 7)::BIGINT AS shown, 0::BIGINT AS after_reset FROM posts""",
+    "job_errors_surface": f"""WITH {POSTS}
+        SELECT count(*) AS n_posts, 'ValueError' AS error_0, 'AnalysisException' AS error_1 FROM posts""",
     "snapshot_of_groups": """
         SELECT source AS subreddit, count(*) AS n_held, 2 * count(*) AS n_now FROM documents GROUP BY source""",
     "missing_and_reset_tables": """

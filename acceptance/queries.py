@@ -30,6 +30,7 @@ from murmura.plans.job import run_job
 from murmura.sources.landing import (
     combine_landings,
     in_groups,
+    preview,
     read_comments,
     read_posts,
     write_landing,
@@ -590,6 +591,41 @@ def landed_row_counts(spark, d):
     )
 
 
+@query
+def landing_previews(spark, d):
+    """How many rows a preview shows of what was landed, before and after a reset of the landing."""
+    path = fresh_path(spark, "landing") + "/posts.csv"
+    rows = _raw_posts(spark, d)
+    write_landing(rows, path)
+    shown = preview(read_posts(spark, path), 7).count()
+    write_landing(rows.limit(0), path)
+    left = preview(read_posts(spark, path), 7).count()
+    return rows.agg(F.count(F.lit(1)).alias("n_posts")).select(
+        "n_posts", F.lit(shown).cast("bigint").alias("shown"), F.lit(left).cast("bigint").alias("after_reset")
+    )
+
+
+@query
+def job_errors_surface(spark, d):
+    """A job that cannot be done raises, and leaves what was stored as it was."""
+    landing = fresh_path(spark, "landing")
+    write_landing(_raw_posts(spark, d), f"{landing}/posts.csv")
+    store = FolderStore(spark, fresh_path(spark, "tables"))
+    run_job(spark, landing, store, b.scorer, run="first")
+    found = []
+    for job in (
+        lambda: run_job(spark, landing, store, b.scorer, run="no/run/name"),
+        lambda: run_job(spark, f"{landing}/nowhere", store, b.scorer, run="second"),
+    ):
+        try:
+            job()
+            found.append("none")
+        except Exception as error:
+            found.append(type(error).__name__)
+    posts = store.read("posts").agg(F.count(F.lit(1)).alias("n_posts"))
+    return posts.select("n_posts", *[F.lit(name).alias(f"error_{i}") for i, name in enumerate(found)])
+
+
 @query
 def snapshot_of_groups(spark, d):
     """A snapshot keeps what it read while its source goes on."""
