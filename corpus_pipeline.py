@@ -13,41 +13,35 @@ from pyspark.sql import functions as F
 from acceptance.bindings import prepared
 from murmura.llm import decontamination, mixing, near_dedup, quality_classifier, secret_scan
 from murmura.llm.queries import benchmark, documents, labels
+from murmura.llm.text import fresh_name
 from murmura.sources.scratch import stage
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     known = labels(prepared(spark), sf_dir).select("doc_id", F.col("quality").alias("label"))
-    return quality_classifier.good_documents(docs, known).select(COLUMNS)
+    return quality_classifier.good_documents(docs, known).select(docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: five words, a similarity of 0.8 or more."""
     prepared(spark)
-    return near_dedup.deduplicated(docs).select(COLUMNS)
+    return near_dedup.deduplicated(docs).select(docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no notable share of benchmark passages."""
-    return decontamination.decontaminated(docs, benchmark(prepared(spark), sf_dir)).select(COLUMNS)
+    return decontamination.decontaminated(docs, benchmark(prepared(spark), sf_dir)).select(docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets masked in their texts."""
     prepared(spark)
-    found = secret_scan.secrets(docs)
-    masked = secret_scan.redacted(F.col("text"), F.col("secrets"))
-    hit = F.size("secrets") > 0
-    return found.select(
-        "doc_id",
-        masked.alias("text"),
-        "lang",
-        "source",
-        F.when(hit, F.length(masked).cast("long")).otherwise(F.col("n_chars")).alias("n_chars"),
-    )
+    spans = fresh_name(docs, "secrets")
+    found = secret_scan.secrets(docs, name=spans)
+    masked = secret_scan.redacted(F.col("text"), F.col(spans))
+    size = F.when(F.size(spans) > 0, F.length(masked).cast("long")).otherwise(F.col("n_chars"))
+    return found.withColumns({"text": masked, "n_chars": size}).select(docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

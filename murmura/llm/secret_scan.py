@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from murmura.llm.text import whole
+from murmura.llm.text import fresh_name, whole
 from murmura.sources.scratch import fresh_path
 
 
@@ -147,22 +147,24 @@ def secrets(
     ledger: str | None = None,
     run: str = "0",
     rules: tuple[Rule, ...] = RULES,
+    name: str = "secrets",
 ) -> DataFrame:
-    """The rows of ``docs`` with the column ``secrets``: kind, start and end of each span.
+    """The rows of ``docs`` with the column ``name``: kind, start and end of each span.
 
     ``docs`` holds every version of every path and needs the column text. The
-    ledger is a folder that later runs pass again; by default a new one.
-    Columns named blob or secrets are replaced. Null and empty texts hold no
+    ledger is a folder that later runs pass again; by default a new one. All
+    columns stay, but for one of that name. Null and empty texts hold no
     secret; equal rows get equal results.
     """
     spark = docs.sparkSession
     ledger = ledger or fresh_path(spark, "ledger")
-    named = docs.drop("blob", "secrets").withColumn("blob", F.sha2(whole("text"), 256))
-    scan_unseen(named.select("blob", whole("text").alias("text")), ledger, run, rules)
-    found = findings(read_ledger(spark, ledger), rules).withColumnRenamed("spans", "secrets")
+    blob = fresh_name(docs, "blob")
+    named = docs.drop(name).withColumn(blob, F.sha2(whole("text"), 256))
+    scan_unseen(named.select(F.col(blob).alias("blob"), whole("text").alias("text")), ledger, run, rules)
+    found = findings(read_ledger(spark, ledger), rules)
+    found = found.select(F.col("blob").alias(blob), F.col("spans").alias(name))
     empty = F.array().cast("array<struct<start:long,place:int,end:long,kind:string>>")
-    joined = named.join(found, "blob", "left").drop("blob")
-    return joined.withColumn("secrets", F.coalesce("secrets", empty))
+    return named.join(found, blob, "left").withColumn(name, F.coalesce(name, empty)).drop(blob)
 
 
 def redacted(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
