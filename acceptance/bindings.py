@@ -39,7 +39,7 @@ def prepared(spark: SparkSession) -> SparkSession:
     """
     context = spark.sparkContext
     known = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not known and context.master.startswith("local["):
+    if not known and context.master.split("[")[0] == "local":
         context.setCheckpointDir(tempfile.mkdtemp(prefix="murmura-"))
     return tune(spark)
 
