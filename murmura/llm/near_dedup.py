@@ -198,10 +198,12 @@ def _ranked_prefixes(sets: DataFrame, members: DataFrame, percent: int) -> DataF
     members, then of the hash.
     """
     own = sets.select(F.col("doc_id").alias("x"), "shingles").join(members, "x")
-    items = own.select("x", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("item"))
+    # A repeated row has the same set, hence the digest and the distinct items.
+    own = own.select("x", "root", F.size("shingles").alias("n"), F.xxhash64("shingles").alias("digest"), "shingles")
+    items = own.select("x", "root", "n", "digest", F.explode("shingles").alias("item"))
     rarity = items.groupBy("item").agg(F.count(F.lit(1)).alias("held"))
-    placed = F.array_sort(F.collect_list(F.struct("held", "item")))
-    sorted_sets = items.join(rarity, "item").groupBy("x", "root", "n").agg(placed.alias("placed"))
+    placed = F.array_sort(F.collect_set(F.struct("held", "item")))
+    sorted_sets = items.join(rarity, "item").groupBy("x", "root", "n", "digest").agg(placed.alias("placed"))
     least_shared = F.ceil(F.col("n") * percent / 100).cast("int")
     prefix = F.slice("placed", F.lit(1), F.col("n") - least_shared + 1)
     each = sorted_sets.select("x", "root", "n", F.posexplode(prefix).alias("at", "placed"))

@@ -62,6 +62,7 @@ def test_components_match_brute_force(spark, size, percent):
     texts += list(near_copies(prose(101, 12), 30, 2, 2)) + [prose(102, 50)] * 25
     texts += ["a b", "A  b", "a", "b", "", " \n ", "a b c", "a b c a b c a b c"]
     rows = list(enumerate(texts))
+    rows += rows[40:90:7]  # repeated rows
     random.Random(3).shuffle(rows)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     want = groups_by_hand(rows, size, percent)
@@ -69,6 +70,7 @@ def test_components_match_brute_force(spark, size, percent):
     assert {r["doc_id"]: r["component_id"] for r in got} == want
     assert {r["doc_id"]: r["n_shingles"] for r in got} == {i: len(shingles(t, size)) for i, t in rows}
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
+    assert len(got) == len(rows)
     assert {r["doc_id"] for r in near_dedup.deduplicated(df, shingle=size, percent=percent).collect()} == set(want.values())
 
 
