@@ -35,7 +35,7 @@ def _names(by: Sequence[str]) -> list[str]:
 def _with_summary(rows: DataFrame, summary: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows with the summary of their group; without groups the summary is one row."""
     if by:
-        return rows.join(small(summary), list(by))
+        return rows.join(summary, list(by))
     return rows.withColumn("_summary", summary.select(F.struct(*summary.columns)).scalar()).select(
         *rows.columns, "_summary.*"
     )
@@ -76,7 +76,8 @@ def _range(steps: int) -> list[str]:
 
 
 def _placed(values: DataFrame, cuts: DataFrame, by: Sequence[str], lots: int) -> DataFrame:
-    placed = _with_summary(values.filter("v IS NOT NULL"), cuts, by).withColumn("range", F.lit(0))
+    checked = small(cuts) if by else cuts
+    placed = _with_summary(values.filter("v IS NOT NULL"), checked, by).withColumn("range", F.lit(0))
     for step in _range(1 << (lots - 1).bit_length()):
         placed = placed.withColumn("range", F.expr(step))
     return placed
@@ -124,8 +125,9 @@ def exact_quantiles(
     )
     in_range = W.partitionBy(*by, "range").orderBy("v")
     through = in_range.rowsBetween(W.unboundedPreceding, W.currentRow)
+    # A few rows for each group that has passed the check of the cuts.
     hits = (
-        placed.join(small(targets), [*by, "range"])
+        placed.join(F.broadcast(targets), [*by, "range"])
         .groupBy(*by, "range", "total", "before", "ranks", "v")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("upto", F.col("before") + F.sum("n").over(through))
@@ -156,7 +158,8 @@ def _with_fences(
     df: DataFrame, value: str, by: Sequence[str], reach: float, **cutting: int
 ) -> DataFrame:
     """Values with the quartiles of their group, and whether they lie beyond the fences."""
-    box = _box(df, value, by, **cutting)
+    # A row for each group that has passed the check of the cuts.
+    box = F.broadcast(_box(df, value, by, **cutting))
     fenced = _with_summary(_values(df, value, by).filter("v IS NOT NULL"), box, by)
     low = f"q1 - {float(reach)}D * (q3 - q1)"
     high = f"q3 + {float(reach)}D * (q3 - q1)"
@@ -251,7 +254,7 @@ def histogram(
     span = values.groupBy(*by).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     if by:
         span = span.filter("lo IS NOT NULL")
-    binned = _with_summary(values, span, by)
+    binned = _with_summary(values, small(span) if by else span, by)
     index = _bin(F.col("v"), F.col("lo"), F.col("hi"), bins)
     cells = ", ".join(f"coalesce(count_if(bin = {i}), 0L)" for i in range(bins))
     summed = (

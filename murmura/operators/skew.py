@@ -18,9 +18,9 @@ def small(df: DataFrame, max_rows: int = MAX_SMALL) -> DataFrame:
     """
     total = F.count(F.lit(1)).over(W.partitionBy())
     message = F.lit(f"more than {max_rows} rows in a table meant for broadcast")
-    checked = df.limit(max_rows + 1).withColumn("_total", total)
-    fits = F.when(F.col("_total") > max_rows, F.raise_error(message).cast("boolean")).otherwise(True)
-    return F.broadcast(checked.filter(fits).drop("_total"))
+    checked = df.limit(max_rows + 1).withColumn("_rows_in_small", total)
+    fits = F.when(F.col("_rows_in_small") > max_rows, F.raise_error(message).cast("boolean")).otherwise(True)
+    return F.broadcast(checked.filter(fits).drop("_rows_in_small"))
 
 
 def per_key(df: DataFrame, key: str, value: str) -> DataFrame:
