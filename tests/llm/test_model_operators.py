@@ -89,6 +89,51 @@ def test_trees_choose_further_spans(spark):
     assert not any(s["kind"] == "other" for i in range(200, 420) if i in got for s in got[i])
 
 
+def test_trees_choose_hinted_forms_beyond_the_base_rules(spark):
+    """Learnt from base spans in disguise; each loose form is found, plain numbers are not."""
+    rng = np.random.default_rng(5)
+
+    def digits(n):
+        return "".join(map(str, rng.integers(0, 10, n)))
+
+    def card():
+        body = "4" + digits(14)
+        return next(body + d for d in "0123456789" if passes_luhn(body + d))
+
+    rows = []
+    for i in range(150):
+        phone = f"call +1 (2{digits(2)}) 555-{digits(4)}"
+        mail = f"write to {prose(i, 1).strip('.')}{i}@mail{i % 9}.example.com"
+        ip = f"server {rng.integers(1, 255)}.{rng.integers(0, 255)}.{rng.integers(0, 255)}.{rng.integers(1, 255)}"
+        for j, said in enumerate([phone, mail, ip, f"card {card()}", f"build {digits(16)}", f"the {digits(9)} of"]):
+            rows.append((10 * i + j, f"{prose(i + j, 12)} {said} {prose(i + j + 1, 4)}"))
+    loose = {
+        9001: ("please call ", "(415) 555-2671"),
+        9002: ("write to ", "joe (at) example.com"),
+        9003: ("host ", "00:1a:2b:3c:4d:5e"),
+        9004: ("write to ", "ann.lee[at]mail.example.org"),
+        9005: ("phone ", "415-555-2671"),
+        9006: ("my card ", "4111.1111.1111.1111"),
+    }
+    rows += [(i, f"{prose(i, 12)} {hint}{span} {prose(i + 1, 4)}") for i, (hint, span) in loose.items()]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    got = {r["doc_id"]: [s for s in r["spans"] if s["kind"] == "other"] for r in pii.personal_data(df).collect()}
+    for i, (_, span) in loose.items():
+        assert [texts[i][s["start"] : s["end"]] for s in got[i]] == [span]
+    plain = [i for i in texts if i < 9000 and i % 10 in (4, 5)]
+    assert sum(bool(got[i]) for i in plain) <= 0.05 * len(plain)
+
+
+def test_disguised_spans_are_proposed_and_not_base():
+    base = ["joe@mail.example.com", "10.0.0.1", "4111 1111 1111 1111", "+1 (415) 555-2671", "+4930123456"]
+    for span in base:
+        ((kind, *place),) = pii.base_spans(span)
+        assert place == [0, len(span)]
+        assert [c["label"] for c in pii.candidates_of(f"x {span} y", pii.base_spans(f"x {span} y"))] == [1]
+        assert kind not in [k for k, _, _ in pii.base_spans(pii.disguised(kind, span))]
+
+
 def test_query_of_personal_data(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     got = QUERIES["op4_candidate_boosting"](spark, SMALL).collect()
