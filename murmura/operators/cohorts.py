@@ -89,8 +89,8 @@ def _slim(comments: DataFrame, post_id: str) -> DataFrame:
     return comments.select("id", post_id, "score", content.alias("row"))
 
 
-def _fetched(comments: DataFrame, keys: DataFrame, post_id: str) -> DataFrame:
-    """The comments of the ranked keys, with all columns and those that the keys add.
+def _fetched(comments: DataFrame, keys: DataFrame, post_id: str, most: int) -> DataFrame:
+    """The comments of at most ``most`` ranked keys, with all columns and those that the keys add.
 
     A comment without id is found as well. What else has the same hash only
     adds candidates, and the caller ranks once more.
@@ -99,7 +99,7 @@ def _fetched(comments: DataFrame, keys: DataFrame, post_id: str) -> DataFrame:
     added = [c for c in keys.columns if c not in ("id", post_id, "row", "score", "rank")]
     distinct = keys.select(F.col(post_id).alias("_post"), F.col("row").alias("_row"), *added).distinct()
     same = F.col(post_id).eqNullSafe(F.col("_post")) & (F.col("_content") == F.col("_row"))
-    found = comments.withColumn("_content", content).join(small(distinct), same)
+    found = comments.withColumn("_content", content).join(small(distinct, most), same)
     return found.drop("_content", "_post", "_row")
 
 
@@ -113,7 +113,7 @@ def top_comments(
     """
     order = [in_order_desc(comments, "score"), F.asc("id")]
     winners = cohort_comments(posts, _slim(comments, post_id), post_id).orderBy(*order, "row").limit(k)
-    found = _fetched(comments, winners, post_id)
+    found = _fetched(comments, winners, post_id, k)
     listed = _listed(comments)
     return found.orderBy(*order, *listed).limit(k).select(*listed)
 
@@ -128,14 +128,12 @@ def top_comments_per_group(
     """The ``k`` best-scored comments on the posts of every group.
 
     The best ``k`` of each post are found first, so a post with very many
-    comments meets its groups with ``k`` rows. Keys are ranked, and the texts
-    of the winners, ``k`` per group, are fetched afterwards.
+    comments meets its groups with ``k`` rows. Each task cuts its posts to
+    ``k`` before their texts are shuffled, so any number of groups will do.
     """
-    order = [in_order_desc(comments, "score"), F.asc("id")]
-    best = top_k_per_group(_slim(comments, post_id), [post_id], [*order, F.asc("row")], k)
-    owned = best.drop("rank").join(_owners(posts, by, post_id), post_id)
-    winners = top_k_per_group(owned, [by], [*order, F.asc("row")], k, parts=0)
-    found = _fetched(comments.drop(by), winners, post_id)
     listed = _listed(comments)
-    ranked = top_k_per_group(found, [by], [*order, *map(F.asc, listed)], k, parts=0)
-    return ranked.select(by, "rank", *listed)
+    order = [in_order_desc(comments, "score"), F.asc("id"), *map(F.asc, listed)]
+    slim = comments.select(*dict.fromkeys([post_id, *listed, "id", "score"]))
+    best = top_k_per_group(slim, [post_id], order, k).drop("rank")
+    owned = best.join(_owners(posts, by, post_id), post_id)
+    return top_k_per_group(owned, [by], order, k, parts=0).select(by, "rank", *listed)

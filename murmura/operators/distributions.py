@@ -2,8 +2,9 @@
 
 Exact and without ever holding a group in one task. The operators read the
 value column more than once, with aggregates that combine before they shuffle;
-what a pass needs to know of its group is a broadcast summary. Only the rows
-that may hold a wanted rank are ever shuffled, spread by group and range.
+what a pass needs to know of its group is a summary, which Spark broadcasts
+below its own threshold. Then only the rows that may hold a wanted rank are
+shuffled, spread by group and range; with a larger summary all values are.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from murmura.functions import number
-from murmura.operators.skew import small
+from murmura.operators.skew import with_group_row
 
 _QUARTILES = (0.0, 0.25, 0.5, 0.75, 1.0)
 
@@ -35,7 +36,7 @@ def _names(by: Sequence[str]) -> list[str]:
 def _with_summary(rows: DataFrame, summary: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows with the summary of their group; without groups the summary is one row."""
     if by:
-        return rows.join(summary, list(by))
+        return with_group_row(rows, summary, by)
     return rows.withColumn("_summary", summary.select(F.struct(*summary.columns)).scalar()).select(
         *rows.columns, "_summary.*"
     )
@@ -76,8 +77,7 @@ def _range(steps: int) -> list[str]:
 
 
 def _placed(values: DataFrame, cuts: DataFrame, by: Sequence[str], lots: int) -> DataFrame:
-    checked = small(cuts) if by else cuts
-    placed = _with_summary(values.filter("v IS NOT NULL"), checked, by).withColumn("range", F.lit(0))
+    placed = _with_summary(values.filter("v IS NOT NULL"), cuts, by).withColumn("range", F.lit(0))
     for step in _range(1 << (lots - 1).bit_length()):
         placed = placed.withColumn("range", F.expr(step))
     return placed
@@ -97,8 +97,7 @@ def exact_quantiles(
     rows, at most ``lots`` ranges. Rows per range tell which ranges hold the
     wanted ranks, and only rows of those ranges are shuffled and sorted, after
     equal values have been counted. The cut points decide how evenly the work
-    is spread, never what the result is. Groups are summaries: see ``small``
-    for their number.
+    is spread, never what the result is.
     """
     by = list(by)
     values = _values(df, value, by)
@@ -125,9 +124,8 @@ def exact_quantiles(
     )
     in_range = W.partitionBy(*by, "range").orderBy("v")
     through = in_range.rowsBetween(W.unboundedPreceding, W.currentRow)
-    # A few rows for each group that has passed the check of the cuts.
     hits = (
-        placed.join(F.broadcast(targets), [*by, "range"])
+        placed.join(targets, [*by, "range"])
         .groupBy(*by, "range", "total", "before", "ranks", "v")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("upto", F.col("before") + F.sum("n").over(through))
@@ -158,8 +156,7 @@ def _with_fences(
     df: DataFrame, value: str, by: Sequence[str], reach: float, **cutting: int
 ) -> DataFrame:
     """Values with the quartiles of their group, and whether they lie beyond the fences."""
-    # A row for each group that has passed the check of the cuts.
-    box = F.broadcast(_box(df, value, by, **cutting))
+    box = _box(df, value, by, **cutting)
     fenced = _with_summary(_values(df, value, by).filter("v IS NOT NULL"), box, by)
     low = f"q1 - {float(reach)}D * (q3 - q1)"
     high = f"q3 + {float(reach)}D * (q3 - q1)"
@@ -254,7 +251,7 @@ def histogram(
     span = values.groupBy(*by).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     if by:
         span = span.filter("lo IS NOT NULL")
-    binned = _with_summary(values, small(span) if by else span, by)
+    binned = _with_summary(values, span, by)
     index = _bin(F.col("v"), F.col("lo"), F.col("hi"), bins)
     cells = ", ".join(f"coalesce(count_if(bin = {i}), 0L)" for i in range(bins))
     summed = (

@@ -10,7 +10,6 @@ from pyspark.sql.window import Window as W
 
 from murmura.functions import csv_line, latin1_fold, utc
 from murmura.operators.ranking import top_k_per_group
-from murmura.operators.skew import small
 
 def _context_columns(df: DataFrame, by: str) -> list[str]:
     wanted = ["title", "body", by, "score", "num_comments"]
@@ -44,23 +43,14 @@ def prompt_context(
 ) -> DataFrame:
     """The ``n`` newest posts of every group as one CSV text per group.
 
-    Groups, times and ids are ranked first; then the texts of the winners are
-    fetched, so no other text is shuffled. A text holds at most ``n`` posts,
-    whatever the size of its group.
+    Each task cuts its groups to ``n`` posts before their texts are shuffled,
+    so any number of groups will do. A text holds at most ``n`` posts, whatever
+    the size of its group.
     """
-    order = [F.desc_nulls_last(utc(posts, ts)), F.asc(key)]
-    place = [by, ts, key]
-    winners = top_k_per_group(posts.select(*place), [by], order, n).select(
-        *[F.col(c).alias(f"_{c}") for c in place]
-    ).distinct()
-    same = F.lit(True)
-    for c in place:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    columns = list(dict.fromkeys([*_context_columns(posts, by), *place]))
-    found = posts.select(*columns).join(small(winners), same).select(*columns)
+    columns = list(dict.fromkeys([*_context_columns(posts, by), by, ts, key]))
     # Posts that agree in group, time and id are told apart by their content.
-    content = F.xxhash64(*columns)
-    return context_of_sample(top_k_per_group(found, [by], [*order, content], n, parts=0), by)
+    order = [F.desc_nulls_last(utc(posts, ts)), F.asc(key), F.xxhash64(*columns)]
+    return context_of_sample(top_k_per_group(posts.select(*columns), [by], order, n), by)
 
 
 def joint_context(contexts: DataFrame, groups: Sequence[str], by: str = "subreddit") -> DataFrame:

@@ -217,3 +217,42 @@ def test_building_a_plan_runs_no_job(spark, stored, replies):
     prompts.build_prompts(prompts.prompt_context(stored), {"ask": "What?"}, "Role.")
     spark.sparkContext.setJobGroup("", "")
     assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
+
+
+def test_more_groups_than_a_broadcast_may_have(spark):
+    """One group or winner more than the bound of ``skew.small``: every one has its result."""
+    values = spark.range(100_001).selectExpr("id AS g", "cast(id AS double) AS x")
+    assert distributions.histogram(values, "x", 2, ["g"]).count() == 200_002
+    assert distributions.box_stats(values, "x", ["g"]).filter("n = 1 AND median = g").count() == 100_001
+    tukey = distributions.box_stats(values, "x", ["g"], whisker="tukey")
+    assert tukey.filter("whisker_low = g AND whisker_high = g").count() == 100_001
+    posts = spark.range(100_005).selectExpr(
+        "id", "id % 6667 AS subreddit", "id AS created_utc", "'t' AS title", "'b' AS body", "1D AS score"
+    )
+    assert prompts.prompt_context(posts, 15).filter("n_rows = 15").count() == 6667
+    groups = spark.range(10_001).selectExpr("id", "id AS subreddit")
+    replies = spark.range(100_010).selectExpr("id", "id % 10001 AS post_id", "'b' AS body", "1D AS score")
+    assert cohorts.top_comments_per_group(groups, replies, 10).count() == 100_010
+
+
+def test_a_hot_group_is_split_when_its_summary_is_not_broadcast(spark):
+    wanted = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        values = spark.range(20000, numPartitions=6).selectExpr(
+            "if(id % 10 < 6, 5, id % 100) AS g", "cast(id AS double) AS x"
+        )
+        counted = distributions.histogram(values, "x", 4, ["g"])
+        assert sum(r["n"] for r in counted.collect()) == 20000
+        assert "skew=true" in plan(counted)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
