@@ -158,32 +158,52 @@ def forward(trie: Pieces, words: list[str], chances: np.ndarray) -> dict[str, np
 
 
 def expected_pieces(trie: Pieces, words: list[str], counts: np.ndarray, chance: np.ndarray) -> np.ndarray:
-    """Expected number of uses of every node in the words of one language (forward and backward)."""
+    """Expected number of uses of every node in the words of one language (forward and backward).
+
+    Words of any length count: both passes are scaled up like ``forward``.
+    """
     uses = np.zeros(trie.size)
     weight = dict(zip(words, counts))
-    for block in _blocks([word for word in words if len(word) <= 64]):
+    for block in _blocks(words):
         codes, lengths = trie.codes(block)
         n, width = codes.shape
         places = np.arange(n)
         alpha, beta = np.zeros((width + 1, n)), np.zeros((width + 1, n))
         alpha[0], beta[lengths, places] = 1.0, 1.0
+        scales = np.zeros((width + 1, n))  # of alpha, place by place
         edges = [list(trie.edges(codes, begin)) for begin in range(width)]
         for begin in range(width):
             for end, rows, nodes in edges[begin]:
                 alpha[end, rows] += alpha[begin, rows] * chance[nodes]
+            ahead = alpha[begin + 1 : begin + 2 + MAX_PIECE]
+            scales[begin + 1] = scales[begin] + _scaled_up(ahead, begin % 4 == 3, lengths > begin)
+        with np.errstate(divide="ignore"):
+            logs = np.log(alpha) + scales
+        total, scale = logs[lengths, places], np.zeros(n)
+        times = np.array([weight[word] for word in block], float)
+        times[~np.isfinite(total)], total[~np.isfinite(total)] = 0.0, 0.0
         for begin in range(width - 1, -1, -1):
+            here = begin < lengths
+            share = np.zeros(n)
+            share[here] = times[here] * np.exp((logs[begin] + scale - total)[here])
             for end, rows, nodes in edges[begin]:
-                beta[begin, rows] += beta[end, rows] * chance[nodes]
-        times = np.array([weight[word] for word in block])
-        total = beta[0]
-        share = np.divide(times, total, out=np.zeros(n), where=total > 0)
-        for begin in range(width):
-            for end, rows, nodes in edges[begin]:
-                used = alpha[begin, rows] * chance[nodes] * beta[end, rows] * share[rows]
-                np.add.at(uses, nodes, used)
+                part = beta[end, rows] * chance[nodes]
+                beta[begin, rows] += part
+                np.add.at(uses, nodes, part * share[rows])
+            scale += _scaled_up(beta[begin : begin + 1 + MAX_PIECE], begin % 4 == 3, here)
     return uses
 
 
+def _scaled_up(values: np.ndarray, due: bool, alive: np.ndarray) -> np.ndarray | float:
+    """Scales up in place the columns that have become small; the logarithm to add for that."""
+    if not due:
+        return 0.0
+    small = (values.max(axis=0) < 1e-150) & alive
+    if small.any():
+        values *= np.where(small, 1e150, 1.0)
+    return np.where(small, -np.log(1e150), 0.0)
+
+
 def _chances(trie: Pieces, uses: np.ndarray) -> np.ndarray:
     """Smoothed probabilities; columns are languages."""
     known = trie.is_piece[:, None]

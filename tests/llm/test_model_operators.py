@@ -200,6 +200,16 @@ def test_long_words_do_not_underflow(trie):
     assert np.isfinite(logs).all() and (logs < 100 * short).all()
 
 
+def test_long_words_count_in_training(trie):
+    """A word of equal parts uses pieces in proportion to its length, however long or improbable it is."""
+    chance = language_id._chances(trie, np.zeros((trie.size, 1)))[:, 0]
+    short = language_id.expected_pieces(trie, ["zq" * 30], np.array([1]), chance)
+    for times in (40, 2000):
+        uses = language_id.expected_pieces(trie, ["zq" * times, "zq"], np.array([3, 0]), chance)
+        assert np.isfinite(uses).all()
+        np.testing.assert_allclose(uses.sum() / 3 / times, short.sum() / 30, rtol=0.1)
+
+
 def test_languages_of_held_out_documents(spark):
     sf = "/root/testdata/sf0.01"
     got = QUERIES["op7_segmentation_unigrams"](spark, sf)
