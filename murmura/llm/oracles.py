@@ -219,3 +219,109 @@ SELECT doc.doc_id, coalesce(len(s), 0)::BIGINT AS n_shingles, coalesce(root, doc
     coalesce(root, doc.doc_id) = doc.doc_id AS kept
 FROM doc LEFT JOIN shingles USING (doc_id) LEFT JOIN least_root ON node = doc.doc_id
 """
+
+_PLANTED_WORDS = r"""
+bytes AS (
+    SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+        [ascii(x)::BIGINT FOR x IN string_split(doc_id::VARCHAR, '')] AS said
+    FROM documents
+), crc_table AS (
+    SELECT list_transform(range(256), lambda k: list_reduce(range(8), lambda c, i:
+        CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k::BIGINT)) AS t
+), hashed AS (
+    SELECT row_id, doc_id, ws, xor(list_reduce(said, lambda c, b:
+        xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) AS h
+    FROM bytes, crc_table
+), cut AS (
+    SELECT row_id, doc_id, ws, len(ws) AS n, h % 10 = 0 AND len(ws) > 0 AS planted, h // 10 AS g FROM hashed
+), shaped AS (
+    SELECT *, CASE WHEN planted THEN g % n END AS a FROM cut
+), words AS MATERIALIZED (
+    SELECT row_id, doc_id, CASE WHEN planted THEN list_transform(range(n),
+        lambda i: ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) ELSE ws END AS ws
+    FROM shaped
+)"""
+
+ORACLES["op12_frequency_splitting"] = rf"""
+WITH {_PLANTED_WORDS}, five AS (
+    SELECT row_id, len(ws) AS n, unnest(range(1, len(ws) - 3)) AS i,
+        unnest([array_to_string(ws[k : k + 4], ' ') FOR k IN range(1, len(ws) - 3)]) AS said
+    FROM words WHERE len(ws) > 5
+), pair AS (
+    SELECT x.row_id, x.i, y.i - x.i AS q FROM five x JOIN five y
+        ON x.row_id = y.row_id AND x.said = y.said AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), stretch AS (
+    SELECT row_id, q, min(i) - 1 AS start, count(*) + 4 + q AS length
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY row_id, q ORDER BY i) AS island FROM pair)
+    GROUP BY row_id, q, island
+), long AS (
+    SELECT * FROM stretch WHERE length >= greatest(6, 4 * q)
+), run AS (
+    SELECT row_id, start, length, q AS period FROM long l WHERE NOT EXISTS (
+        SELECT 1 FROM long s WHERE s.row_id = l.row_id AND s.q < l.q AND s.start <= l.start
+            AND s.start + s.length >= l.start + l.length)
+), summary AS (
+    SELECT row_id, count(*) AS n_runs,
+        first(struct_pack(s := start, l := length, p := period) ORDER BY length / period DESC, start, period) AS best,
+        string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS said
+    FROM run GROUP BY row_id
+), gone AS (
+    SELECT DISTINCT row_id, unnest(range(start + period, start + length)) AS i FROM run
+), word AS (
+    SELECT row_id, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS i FROM words WHERE row_id IN (SELECT row_id FROM run)
+), collapsed AS (
+    SELECT row_id, string_agg(w, ' ' ORDER BY word.i) AS said FROM word ANTI JOIN gone USING (row_id, i) GROUP BY row_id
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.p AS period,
+    1000 * best.l // best.p AS exponent_milli, sha256(coalesce(summary.said, '')) AS runs_sha256,
+    sha256(coalesce(collapsed.said, array_to_string(ws, ' '))) AS collapsed_sha256
+FROM words LEFT JOIN summary USING (row_id) LEFT JOIN collapsed USING (row_id)
+"""
+
+ORACLES["op13_contingency_tensor"] = r"""
+WITH known AS (
+    SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+    FROM labels GROUP BY doc_id
+), doc AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+        min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+    FROM documents
+), flag AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, map {
+        'A': len(ws) < 100,
+        'B': 100 * len(list_distinct(ws)) < 80 * len(ws),
+        'C': 100 * len(regexp_extract_all(text, '[A-Z]')) > 10 * length(text),
+        'D': regexp_matches(text, '[#$%&*|]'),
+        'E': coalesce(doc_id > first_id, FALSE)} AS fails
+    FROM doc LEFT JOIN known USING (doc_id)
+), cell AS (
+    SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM flag GROUP BY part, fails
+), letter(x) AS (
+    VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+), orders AS (
+    SELECT concat(a.x, b.x, c.x, d.x, e.x) AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), step AS (
+    SELECT filter_order, step, filter_order[step] AS x,
+        list_transform(range(1, step), lambda i: filter_order[i]) AS earlier
+    FROM orders, (SELECT unnest(range(1, 6)) AS step)
+), judged AS (
+    SELECT part, filter_order, step, x, n, good, toxic, fails[x] AS failed,
+        len(list_filter(earlier, lambda y: fails[y])) > 0 AS before,
+        len(list_filter(['A', 'B', 'C', 'D', 'E'], lambda y: fails[y])) AS n_failed
+    FROM step, cell
+), figures AS (
+    SELECT part, filter_order, step, x,
+        sum(CASE WHEN NOT failed AND NOT before THEN n ELSE 0 END)::BIGINT AS kept,
+        sum(CASE WHEN failed AND NOT before THEN n ELSE 0 END)::BIGINT AS removed,
+        sum(CASE WHEN failed AND before THEN n ELSE 0 END)::BIGINT AS redundant,
+        sum(CASE WHEN failed AND n_failed = 1 THEN n ELSE 0 END)::BIGINT AS unique_fails,
+        sum(CASE WHEN failed AND NOT before THEN good ELSE 0 END)::BIGINT AS good_lost,
+        sum(CASE WHEN failed AND NOT before THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+    FROM judged GROUP BY part, filter_order, step, x
+)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    sum(removed) OVER (PARTITION BY part, x)::BIGINT AS shapley
+FROM figures
+"""

@@ -11,15 +11,19 @@ from acceptance.bindings import prepared
 from murmura.llm import (
     chat_format,
     decontamination,
+    filter_audit,
     html_text,
     language_id,
     mixing,
     near_dedup,
+    periodic_runs,
     pii,
     quality_classifier,
     quality_rules,
     secret_scan,
+    toxicity,
 )
+from murmura.llm.text import whole, words
 from murmura.sources.scratch import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +132,57 @@ def op9_fast_similarity_sketching(spark, d):
 def op10_empirical_bayes(spark, d):
     known = labels(spark, d).select("doc_id", F.col("quality").alias("label"))
     return quality_classifier.quality(documents(spark, d), known).drop("version")
+
+
+def _checksum(id: str) -> Column:
+    """CRC-32 of the decimal id; null without id."""
+    return F.crc32(F.col(id).cast("string"))
+
+
+@query
+def op11_ftrl_proximal(spark, d):
+    held_out = F.coalesce(_checksum("doc_id") % 3 == 1, F.lit(False))
+    known = labels(spark, d).select("doc_id", F.col("toxic").alias("label")).filter(~held_out)
+    found = toxicity.toxicity(documents(spark, d), known, at_least=0.7)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def _planted(docs: DataFrame) -> DataFrame:
+    """doc_id and text; for a tenth of the ids, from word a on the p words there over and over."""
+    checksum = _checksum("doc_id")
+    docs = docs.select("doc_id", "text", F.when(checksum % 10 == 0, words(whole("text"))).alias("said"))
+    n, g = F.size("said"), F.floor(checksum / 10)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    times = F.ceil((n - a) / p).cast("int")
+    block = F.flatten(F.array_repeat(F.slice("said", a + 1, p), times))
+    planted = F.array_join(F.concat(F.slice("said", F.lit(1), a), F.slice(block, F.lit(1), n - a)), " ")
+    return docs.select("doc_id", F.when(n > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_frequency_splitting(spark, d):
+    found = periodic_runs.periodic_runs(_planted(documents(spark, d)))
+    nothing = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    # Runs stand in order of start and period, so the first of equal ones stays.
+    best = F.aggregate(
+        "runs",
+        nothing,
+        lambda top, run: F.when(
+            top.isNull() | (run["length"] * top["period"] > top["length"] * run["period"]), run
+        ).otherwise(top),
+    )
+    said = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{name}").alias(name) for name in ("start", "length", "period")],
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(said, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_contingency_tensor(spark, d):
+    return filter_audit.filter_audit(documents(spark, d), labels(spark, d))
