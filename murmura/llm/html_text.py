@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import numpy as np
@@ -33,22 +35,45 @@ NAMES = frozenset(
     "signup social sponsor sponsored subscribe toolbar widget".split()
 )
 TALK = frozenset("comment comments disqus replies reply respond".split())
+BOXES = frozenset("article div dl ol section table ul".split())
+STOPS = REGIONS | frozenset("aside blockquote dl nav ol table ul".split())
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _CUT_TAG = re.compile(r"<[A-Za-z/!][^<>]*\Z")
 
+# How an element counts: with what is around it, as a region that its ratios judge, not at all.
+PLAIN, SUSPECT, OUT = 0, 1, 2
+
+
+@dataclass(frozen=True)
+class Line:
+    """What stands between two tags of block elements: its text, number of tags and region.
+
+    The region is the innermost suspect element around it, else the outermost
+    article or main element, else the innermost other container.
+    """
+
+    text: str
+    tags: int
+    region: int
+    article: bool
+    suspect: bool
+
 
 class _Page(HTMLParser):
-    """Collects the lines of a page: text, number of tags, region, and whether that is an article.
+    """Collects the lines of a page; text inside elements that are left out makes no line.
 
-    A line is what stands between two tags of block elements. Its region is
-    the outermost article or main element around it, else the innermost
-    other container. Text inside elements that are left out makes no line.
+    For every name the places of its open elements are kept, and apart the
+    places of containers, so that no tag looks through the open elements.
     """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool]] = []
-        self.open: list[tuple[str, bool, int]] = []
+        self.lines: list[Line] = []
+        self.open: list[tuple[str, bool]] = []
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.containers: list[int] = []
+        self.stops: list[int] = []
+        self.regions: list[tuple[int, int, bool, bool]] = [(-1, 0, False, False)]
         self.parts: list[str] = []
         self.tags = self.number = self.out = 0
         self.in_head = False
@@ -56,58 +81,79 @@ class _Page(HTMLParser):
     def _end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((text, max(1, self.tags), *self._region()))
+            self.lines.append(Line(text, max(1, self.tags), *self.regions[-1][1:]))
         if self.parts:
             self.tags = 0
         self.parts.clear()
 
-    def _region(self) -> tuple[int, bool]:
-        for tag, _, number in self.open:
-            if tag in ("article", "main"):
-                return number, True
-        for tag, _, number in reversed(self.open):
-            if tag in REGIONS:
-                return number, False
-        return 0, False
+    def _inside(self) -> bool:
+        return bool(self.places["article"] or self.places["main"])
 
-    def _is_out(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def _role(self, tag: str, attrs: list[tuple[str, str | None]]) -> int:
+        """Whether an element is left out, or suspect: inside an article a name alone deletes nothing."""
         if tag in NEVER:
-            return True
-        if not attrs and tag != "header":
-            return False
-        inside = any(name in ("article", "main") for name, _, _ in self.open)
+            return OUT
+        inside = self._inside()
         if tag == "header" and not inside:
-            return True
+            return OUT
+        if not attrs or tag in ("html", "body", "main"):
+            return PLAIN
         given = {name: value or "" for name, value in attrs}
-        if tag in ("html", "body", "main"):
-            return False
-        if "hidden" in given or given.get("aria-hidden") == "true":
-            return True
-        if given.get("role", "") in ROLES:
-            return True
+        if "hidden" in given or given.get("aria-hidden") == "true" or given.get("role", "") in ROLES:
+            return OUT
         for value in (given.get("class", ""), given.get("id", "")):
             for name in value.split():
                 words = {word.lower() for word in _TOKEN.findall(name)}
                 if words & {"has", "no", "with", "without"}:
                     continue
                 if words & (TALK if tag == "article" else NAMES):
-                    return True
+                    if not inside or (tag in BOXES and words & TALK):
+                        return OUT
+                    return SUSPECT if tag in BOXES else PLAIN
                 if "header" in words and not inside:
-                    return True
-        return False
+                    return OUT
+        return PLAIN
+
+    def _push(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        role, inside, place = self._role(tag, attrs), self._inside(), len(self.open)
+        self.number += 1
+        self.out += role == OUT
+        if role == SUSPECT:
+            self.regions.append((place, self.number, True, True))
+        elif tag in REGIONS and not inside:
+            self.regions.append((place, self.number, tag in ("article", "main"), False))
+        self.open.append((tag, role == OUT))
+        self.places[tag].append(place)
+        if tag in REGIONS:
+            self.containers.append(place)
+        if tag in STOPS:
+            self.stops.append(place)
 
     def _cut(self, place: int) -> None:
-        self.out -= sum(out for _, out, _ in self.open[place:])
-        del self.open[place:]
+        """End the open element at this place and all inside it."""
+        while len(self.open) > place:
+            tag, out = self.open.pop()
+            self.out -= out
+            self.places[tag].pop()
+            if tag in REGIONS:
+                self.containers.pop()
+            if tag in STOPS:
+                self.stops.pop()
+        while self.regions[-1][0] >= place:
+            self.regions.pop()
 
     def _close(self, tag: str) -> None:
-        for place in range(len(self.open) - 1, -1, -1):
-            name = self.open[place][0]
-            if name == tag:
-                self._cut(place)
-                return
-            if name in REGIONS and tag not in BLOCKS:
-                return
+        """End the innermost element of this name; no container, if the name is not of a block."""
+        if not self.places[tag]:
+            return
+        place = self.places[tag][-1]
+        if tag in BLOCKS or not self.containers or self.containers[-1] <= place:
+            self._cut(place)
+
+    def _close_above(self, tag: str) -> None:
+        """End an open element of this name unless a container lies in between."""
+        if self.places[tag] and (not self.stops or self.stops[-1] < self.places[tag][-1]):
+            self._cut(self.places[tag][-1])
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
@@ -124,20 +170,7 @@ class _Page(HTMLParser):
         elif tag == "head":
             self.in_head = True
         if tag not in VOID:
-            out = self._is_out(tag, attrs)
-            self.number += 1
-            self.out += out
-            self.open.append((tag, out, self.number))
-
-    def _close_above(self, tag: str) -> None:
-        """End an open element of this name unless a container lies in between."""
-        for place in range(len(self.open) - 1, -1, -1):
-            name = self.open[place][0]
-            if name == tag:
-                self._cut(place)
-                return
-            if name in REGIONS or name in ("ul", "ol", "table", "dl", "nav", "aside", "blockquote"):
-                return
+            self._push(tag, attrs)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -159,7 +192,7 @@ class _Page(HTMLParser):
         if not self.out:
             self.parts.append(data)
 
-    def finish(self) -> list[tuple[str, int, int, bool]]:
+    def finish(self) -> list[Line]:
         self.close()
         self._end_line()
         return self.lines
@@ -194,9 +227,13 @@ def main_text(html: str) -> str:
     Each line's ratio of text to tags is smoothed over its neighbours in the
     same region, and a threshold between two clusters tells content lines. A
     region is content when content lines hold at least half of its text, and
-    is then taken whole, short lines included. Menus, page headers, footers,
-    side bars, forms, adverts, notices and reader comments belong to no
-    region. If an article or main element is content, regions outside such
+    is then taken whole, short lines included. Elements for menus, page
+    headers, footers, side bars, forms and scripts belong to no region, nor do
+    containers whose class or id names them as such, as adverts, notices or
+    reader comments. Inside an article or main element such a name only makes
+    a container a region of its own, to be judged by its ratios (but reader
+    comments go); paragraphs, headings and inline elements are not judged by
+    name there. If an article or main element is content, regions outside such
     elements are not; if no region is content, the one with most text is.
     """
     page = _Page()
@@ -206,20 +243,20 @@ def main_text(html: str) -> str:
         return ""
     regions: dict[int, list[int]] = {}
     for i, line in enumerate(lines):
-        regions.setdefault(line[2], []).append(i)
-    ratios = np.array([len(text) / tags for text, tags, _, _ in lines])
+        regions.setdefault(line.region, []).append(i)
+    ratios = np.array([len(line.text) / line.tags for line in lines])
     for own in regions.values():
         ratios[own] = smoothed(ratios[own])
     content = ratios > threshold(ratios)
-    articles = {region for _, _, region, article in lines if article}
-    total = {region: sum(len(lines[i][0]) for i in own) for region, own in regions.items()}
-    dense = {region: sum(len(lines[i][0]) for i in own if content[i]) for region, own in regions.items()}
+    total = {region: sum(len(lines[i].text) for i in own) for region, own in regions.items()}
+    dense = {region: sum(len(lines[i].text) for i in own if content[i]) for region, own in regions.items()}
     chosen = {region for region in regions if 2 * dense[region] >= total[region]}
+    articles = {line.region for line in lines if line.article and not line.suspect}
     if chosen & articles:
-        chosen &= articles
+        chosen &= articles | {line.region for line in lines if line.suspect}
     if not chosen:
         chosen = {max(articles or total, key=total.__getitem__)}
-    return "\n\n".join(line[0] for line in lines if line[2] in chosen)
+    return "\n\n".join(line.text for line in lines if line.region in chosen)
 
 
 _TEXT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
