@@ -23,12 +23,12 @@ from murmura.sources.scratch import stage
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 DOCS_PER_LANGUAGE = 1000
 ROUNDS = 3
-MAX_PIECE = 12
 UNKNOWN = 1e-7
 SMOOTHING = 0.5
 CACHED_WORDS = 400_000
 CELLS = 1 << 21
 UNDETERMINED = "und"
+_LOTS = 1 << 30
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _START = "▁"
@@ -52,7 +52,8 @@ class Pieces:
 
         model = SentencePieceProcessor(model_file=path)
         names = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())}
-        names = {n for n in names if len(n) <= MAX_PIECE and _LETTERS.fullmatch(n.removeprefix(_START) or "a")}
+        names = {n for n in names if _LETTERS.fullmatch(n.removeprefix(_START) or "a")}
+        self.longest = max(map(len, names), default=1)
         chars = sorted({c for name in names for c in name} | {_START})
         self.code = {c: i + 1 for i, c in enumerate(chars)}
         names = sorted(names | set(chars))
@@ -103,7 +104,7 @@ class Pieces:
         while len(rows):
             piece = self.is_piece[nodes]
             yield end, rows[piece], nodes[piece]
-            if end == codes.shape[1] or end - begin == MAX_PIECE + 1:
+            if end == codes.shape[1] or end - begin == self.longest:
                 return
             code = codes[rows, end]
             nodes = np.where(code >= 0, self.steps[self.row[nodes], self.column[np.maximum(code, 0)]], 0)
@@ -146,7 +147,7 @@ def forward(trie: Pieces, words: list[str], chances: np.ndarray) -> dict[str, np
             for end, rows, nodes in trie.edges(codes, begin):
                 alpha[end, rows] += alpha[begin, rows] * chances[nodes]
             if begin % 4 == 3:
-                ahead = alpha[begin + 1 : begin + 2 + MAX_PIECE]
+                ahead = alpha[begin + 1 : begin + 1 + trie.longest]
                 small = (ahead.max(axis=0) < 1e-150) & (lengths[:, None] > begin)
                 if small.any():
                     ahead *= np.where(small, 1e150, 1.0)
@@ -175,7 +176,7 @@ def expected_pieces(trie: Pieces, words: list[str], counts: np.ndarray, chance:
         for begin in range(width):
             for end, rows, nodes in edges[begin]:
                 alpha[end, rows] += alpha[begin, rows] * chance[nodes]
-            ahead = alpha[begin + 1 : begin + 2 + MAX_PIECE]
+            ahead = alpha[begin + 1 : begin + 1 + trie.longest]
             scales[begin + 1] = scales[begin] + _scaled_up(ahead, begin % 4 == 3, lengths > begin)
         with np.errstate(divide="ignore"):
             logs = np.log(alpha) + scales
@@ -190,7 +191,7 @@ def expected_pieces(trie: Pieces, words: list[str], counts: np.ndarray, chance:
                 part = beta[end, rows] * chance[nodes]
                 beta[begin, rows] += part
                 np.add.at(uses, nodes, part * share[rows])
-            scale += _scaled_up(beta[begin : begin + 1 + MAX_PIECE], begin % 4 == 3, here)
+            scale += _scaled_up(beta[begin : begin + trie.longest], begin % 4 == 3, here)
     return uses
 
 
@@ -227,8 +228,13 @@ def trained(
     only these, a number per language and piece, come to the driver.
     """
     labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-    order = [F.xxhash64("doc_id"), F.asc("doc_id")]
-    ids = top_k_per_group(labelled.select("doc_id", "lang"), ["lang"], order, docs_per_language)
+    slim = labelled.select("doc_id", "lang", F.xxhash64("doc_id").alias("lot"))
+    # Of a language with many documents all but about as many as are wanted go where they are read.
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    wanted = docs_per_language + 5 * docs_per_language**0.5
+    share = F.pmod("lot", F.lit(_LOTS)) < F.floor(F.lit(_LOTS * wanted) / F.col("n")) + 1
+    order = [F.pmod("lot", F.lit(_LOTS)), F.asc("doc_id")]
+    ids = top_k_per_group(slim.join(counts, "lang").filter(share), ["lang"], order, docs_per_language, parts=0)
     ids = stage(ids.select("doc_id", "lang"), "language_sample")
     texts = labelled.join(ids, ["doc_id", "lang"], "left_semi").select("lang", "text")
     schema = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
