@@ -110,7 +110,8 @@ def fitted(features: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABEL
 
     The rows are those with the least hash of the id, so reruns agree. With
     no label, or one class only, the weights are zero and the evidence is the
-    smoothed share of good labels.
+    smoothed share of good labels. Of several labels of an id the greatest
+    holds.
     """
     known = labels.filter("doc_id IS NOT NULL AND label IS NOT NULL").select("doc_id", "label")
     known = known.groupBy("doc_id").agg(F.max("label").cast("double").alias("label"))
@@ -139,7 +140,8 @@ def _strength(groups: DataFrame, prior: str) -> float:
     """How many documents a group's prior is worth, by the method of moments.
 
     The spread of group means about their prior beyond what sampling explains
-    is the true spread; the smaller it is, the more a prior is worth.
+    is the true spread; the smaller it is, the more a prior is worth: one
+    document at least and a thousand at most, also where there is no spread.
     """
     mean = F.col("total") / F.col("n")
     noise = F.col(prior) * (1 - F.col(prior)) / F.col("n")
