@@ -1,0 +1,108 @@
+"""Page regions judged by their ratios; linear time in nested pages and crowded texts."""
+
+import time
+
+import pytest
+from made_texts import prose
+from pyspark.sql import functions as F
+
+from murmura.llm import html_text, language_id, pii
+
+LINKS = "".join(f"<div><a href='/{i}'>Link {i}</a></div>" for i in range(6))
+STORY = "".join(f"<p>{prose(i, 60)}</p>" for i in range(5))
+TOLD = "\n\n".join(prose(i, 60) for i in range(5))
+BARE = f"<body><div><div>{LINKS}</div></div><div>{STORY}<p>Short.</p></div><div>{LINKS}</div></body>"
+
+
+def test_bare_boilerplate_is_told_by_its_ratios(monkeypatch):
+    assert html_text.main_text(BARE) == TOLD + "\n\nShort."
+    monkeypatch.setattr(html_text, "threshold", lambda values: -1.0)
+    assert "Link 3" in html_text.main_text(BARE)
+
+
+@pytest.mark.parametrize(
+    "block",
+    [
+        "<section id='discussion'><p>{}</p></section>",
+        "<h2 id='related-work'>{}</h2>",
+        "<p class='notice'>{}</p>",
+        "<div class='search-results'><p>{}</p></div>",
+    ],
+)
+def test_names_inside_an_article_delete_no_content(block):
+    said = prose(77, 50)
+    page = f"<article>{STORY}{block.format(said)}</article>"
+    assert html_text.main_text(page) == TOLD + "\n\n" + said
+
+
+def test_named_boxes_inside_an_article_are_judged_by_ratio(monkeypatch):
+    page = f"<article>{STORY}<div class='related'>{LINKS}</div><div class='comments'><p>{prose(5, 70)}</p></div></article>"
+    assert html_text.main_text(page) == TOLD
+    monkeypatch.setattr(html_text, "threshold", lambda values: -1.0)
+    assert "Link 3" in html_text.main_text(page)
+
+
+def doubling(work, small):
+    def seconds(n):
+        began = time.perf_counter()
+        work(n)
+        return time.perf_counter() - began
+
+    return seconds(small), seconds(4 * small)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        lambda n: "<div>" * n + "<p>x</p>" + "</div>" * n,
+        lambda n: "<article>" + "<b>" * n + "x" + "</i>" * n + "</section>" * n + "</article>",
+        lambda n: "<i><div>" + "<b>" * n + "</i>" * n + "x",
+        lambda n: "<p>" + "<span><ul>" * n + "<p>x" * n,
+    ],
+)
+def test_deep_pages_take_linear_time(page):
+    few, many = doubling(lambda n: html_text.main_text(page(n)), 25_000)
+    assert many < 10 * few + 1
+
+
+def test_crowded_texts_take_linear_time():
+    def work(n):
+        text = " ".join(f"mail joe{i}@mail.example.com or 415-555-{i:04d}" for i in range(n))
+        assert sum(1 for _ in pii.candidates_of(text, pii.base_spans(text))) >= n
+
+    few, many = doubling(work, 1000)
+    assert many < 8 * few + 0.5
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_span_checks_match_a_walk_over_all_spans(seed):
+    import random
+
+    rng = random.Random(seed)
+    spans = [("x", a, a + rng.randint(1, 9)) for a in (rng.randrange(60) for _ in range(rng.randrange(8)))]
+    cover = pii._Cover(spans)
+    for begin in range(70):
+        for end in range(begin + 1, begin + 6):
+            assert (cover.furthest(begin + 1) < end) == (not any(a <= begin and end <= b for _, a, b in spans))
+            assert (cover.furthest(end) <= begin) == all(end <= a or b <= begin for _, a, b in spans)
+
+
+def test_pages_with_clashing_columns(spark):
+    rows = [(1, "u", BARE), (1, "u", BARE), (2, None, None), (None, "v", ""), (3, "w", "<p>" + "z" * 200_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages = pages.withColumns({name: F.lit("clash") for name in ("text", "n_chars", "tags", "region", "lang")})
+    got = sorted(map(tuple, html_text.extract_pages(pages).collect()), key=repr)
+    want = [(i, u, html_text.main_text(h or ""), len(html_text.main_text(h or ""))) for i, u, h in rows]
+    assert got == sorted(want, key=repr)
+
+
+def test_every_piece_of_the_vocabulary_counts():
+    trie = language_id.pieces(language_id.VOCABULARY)
+    assert trie.longest > 13
+    from sentencepiece import SentencePieceProcessor
+
+    model = SentencePieceProcessor(model_file=language_id.VOCABULARY)
+    names = (model.id_to_piece(i).lower() for i in range(model.get_piece_size()))
+    longest = max((n for n in names if n.startswith("▁") and n[1:].isalpha()), key=len)
+    codes, _ = trie.codes([longest[1:]])
+    assert any(end == len(longest) for end, rows, _ in trie.edges(codes, 0) if len(rows))
