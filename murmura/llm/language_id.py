@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmura.operators.ranking import top_k_per_group
+from murmura.operators.skew import with_group_row
 from murmura.sources.scratch import stage
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -234,7 +235,8 @@ def trained(
     wanted = docs_per_language + 5 * docs_per_language**0.5
     share = F.pmod("lot", F.lit(_LOTS)) < F.floor(F.lit(_LOTS * wanted) / F.col("n")) + 1
     order = [F.pmod("lot", F.lit(_LOTS)), F.asc("doc_id")]
-    ids = top_k_per_group(slim.join(counts, "lang").filter(share), ["lang"], order, docs_per_language, parts=0)
+    few = with_group_row(slim, counts, ["lang"]).filter(share)
+    ids = top_k_per_group(few, ["lang"], order, docs_per_language, parts=0)
     ids = stage(ids.select("doc_id", "lang"), "language_sample")
     texts = labelled.join(ids, ["doc_id", "lang"], "left_semi").select("lang", "text")
     schema = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])

@@ -182,8 +182,11 @@ def mixed_texts(docs: DataFrame, mix: DataFrame) -> DataFrame:
     A copy taken whole keeps its text as it is; of others the first words
     stay, joined by blanks. Texts are found by id and hash.
     """
-    texts = docs.select("doc_id", F.xxhash64("text").alias("version"), "text").dropDuplicates(["doc_id", "version"])
-    found = join_same(mix, texts, ["doc_id", "version"])
+    keys = {"_none": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id").cast("string"), F.lit(""))}
+    texts = docs.select(F.xxhash64("text").alias("version"), "text", *[key.alias(name) for name, key in keys.items()])
+    # Grouped and joined by the same keys, none of them missing, so that texts are shuffled once for both.
+    texts = texts.groupBy("_none", "_id", "version").agg(F.first("text").alias("text"))
+    found = mix.withColumns(keys).join(texts, ["_none", "_id", "version"])
     cut = F.array_join(F.slice(words(F.col("text")), F.lit(1), F.col("words").cast("int")), " ")
     text = F.when(F.col("words") == F.col("size"), F.col("text")).otherwise(cut)
-    return found.withColumn("text", text).orderBy("finish", "source", "doc_id", "copy")
+    return found.select(*mix.columns, text.alias("text")).orderBy("finish", "source", "doc_id", "copy")

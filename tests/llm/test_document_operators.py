@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter
 
+import pytest
 from made_texts import prose
 from pyspark.sql import functions as F
 
@@ -119,6 +120,42 @@ def test_mix_meets_the_targets(spark):
         assert abs(upto - want[source] / 2) <= 90
 
 
+@pytest.mark.parametrize("budget", [0, 1, 777, 20_000, 10**9])
+def test_mix_is_cut_at_a_budget(spark, budget):
+    """The queue of all words by finish time, cut by hand."""
+    rows = [(i, prose(i, 1 + i * 7 % 90), "abc"[min(i % 13, 2)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    whole = mixing.fair_queue(df).collect()
+    got = {r["doc_id"]: r["taken"] for r in mixing.fair_queue(df, budget=budget).collect()}
+    line = []
+    for r in whole:
+        for copy in range(3):
+            ahead = copy * r["source_size"] + r["ahead"]
+            line += [((ahead + word) / r["target"], r["source"], r["doc_id"]) for word in range(1, r["size"] + 1)]
+    most = sum(int(target) for target in {r["source"]: r["target"] for r in whole}.values())
+    want = Counter(id for _, _, id in sorted(line)[: min(budget, most)])
+    assert {id: n for id, n in got.items() if n} == dict(want)
+
+
+def test_texts_of_the_mix(spark, odd, nothing):
+    rows = [(i, f"{prose(i, 1 + i * 7 % 90)} ", "abc"[min(i % 13, 2)]) for i in range(200)]
+    rows += [(7, "other text", "a"), (7, "other text", "a"), (None, "no id", "b"), (None, "no id", "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    mix = mixing.mixture(mixing.fair_queue(df))
+    got = mixing.mixed_texts(df, mix).collect()
+    assert [r["finish"] for r in got] == sorted(r["finish"] for r in got)
+    key = ("doc_id", "source", "size", "copy", "words", "finish")
+    slim = sorted(tuple(map(repr, (r[c] for c in key))) for r in mix.collect())
+    assert sorted(tuple(map(repr, (r[c] for c in key))) for r in got) == slim
+    texts = {(id, len(text.split())): text for id, text, _ in rows}
+    for r in got:
+        text = texts[r["doc_id"], r["size"]]
+        assert r["text"] == (text if r["words"] == r["size"] else " ".join(text.split()[: r["words"]]))
+    for docs in (odd, nothing):
+        queue = mixing.fair_queue(docs)
+        assert mixing.mixed_texts(docs, mixing.mixture(queue)).count() == mixing.mixture(queue).count()
+
+
 def test_mix_of_odd_rows(odd, odd_rows):
     got = mixing.fair_queue(odd).collect()
     want = sorted((repr(r[0]), len(WORD.findall(r[1] or ""))) for r in odd_rows)
