@@ -45,10 +45,11 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix in order: a row per copy taken, with the number of its words that belong to the mix."""
+    """The mix in order: a row per copy taken, with its words that belong to the mix."""
     prepared(spark)
     mix = mixing.mixture(mixing.fair_queue(docs))
-    return mix.select("doc_id", "source", "size", "target", "copy", "finish", "words")
+    columns = ["doc_id", "source", "size", "target", "copy", "finish", "words", "text"]
+    return mixing.mixed_texts(docs, mix).select(columns)
 
 
 STAGES = [
