@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from murmura.functions import in_order_desc, number
 from murmura.operators.kpis import volume
+from murmura.operators.late import BUNDLES, maybe_among, same_keys
 from murmura.operators.ranking import top_k_per_group
 from murmura.operators.skew import per_key, small
 
@@ -124,16 +125,33 @@ def top_comments_per_group(
     k: int = 10,
     by: str = "subreddit",
     post_id: str = "post_id",
+    late: bool = False,
 ) -> DataFrame:
     """The ``k`` best-scored comments on the posts of every group.
 
     The best ``k`` of each post are found first, so a post with very many
     comments meets its groups with ``k`` rows. Each task cuts its posts to
     ``k`` before their texts are shuffled, so any number of groups will do.
+
+    That cuts little where most posts have fewer than ``k`` comments. ``late``
+    therefore ranks keys without texts, drops the comments that cannot be
+    among the winners where they are read, and shuffles the texts of the rest
+    alone; it reads the comments three times, of which once with their texts.
     """
     listed = _listed(comments)
-    order = [in_order_desc(comments, "score"), F.asc("id"), *map(F.asc, listed)]
-    slim = comments.select(*dict.fromkeys([post_id, *listed, "id", "score"]))
-    best = top_k_per_group(slim, [post_id], order, k).drop("rank")
+    if not late:
+        order = [in_order_desc(comments, "score"), F.asc("id"), *map(F.asc, listed)]
+        slim = comments.select(*dict.fromkeys([post_id, *listed, "id", "score"]))
+        best = top_k_per_group(slim, [post_id], order, k).drop("rank")
+        owned = best.join(_owners(posts, by, post_id), post_id)
+        return top_k_per_group(owned, [by], order, k, parts=0).select(by, "rank", *listed)
+    scored = comments.select(*dict.fromkeys([post_id, "id", *listed]), number(comments, "score").alias("_score"))
+    keys = [post_id, "id", "_score"]
+    order = [F.desc_nulls_last("_score"), F.asc("id")]
+    part = F.hash(*keys)
+    best = top_k_per_group(scored.select(*keys), [post_id], order, k, parts=BUNDLES, part=part).drop("rank")
     owned = best.join(_owners(posts, by, post_id), post_id)
-    return top_k_per_group(owned, [by], order, k, parts=0).select(by, "rank", *listed)
+    winners = top_k_per_group(owned, [by], order, k, parts=0).select(by, *keys).distinct()
+    near = scored.drop(by) if by in scored.columns else scored
+    found = same_keys(maybe_among(near, winners, [post_id, "id"]), winners, keys)
+    return top_k_per_group(found, [by], [*order, *map(F.asc, listed)], k).select(by, "rank", *listed)

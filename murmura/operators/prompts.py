@@ -6,10 +6,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from murmura.functions import csv_line, latin1_fold, utc
-from murmura.operators.ranking import top_k_per_group
+from murmura.operators.late import late_top_k_per_group
+from murmura.operators.order import numbered, running_totals
+
 
 def _context_columns(df: DataFrame, by: str) -> list[str]:
     wanted = ["title", "body", by, "score", "num_comments"]
@@ -43,14 +44,17 @@ def prompt_context(
 ) -> DataFrame:
     """The ``n`` newest posts of every group as one CSV text per group.
 
-    Each task cuts its groups to ``n`` posts before their texts are shuffled,
-    so any number of groups will do. A text holds at most ``n`` posts, whatever
-    the size of its group.
+    Groups, times and ids are ranked first; the texts of other posts are
+    dropped where they are read and never shuffled, however many groups there
+    are. A text holds at most ``n`` posts, whatever the size of its group.
     """
     columns = list(dict.fromkeys([*_context_columns(posts, by), by, ts, key]))
+    dated = posts.select(*columns, utc(posts, ts).alias("_at"))
+    order = [F.desc_nulls_last("_at"), F.asc(key)]
     # Posts that agree in group, time and id are told apart by their content.
-    order = [F.desc_nulls_last(utc(posts, ts)), F.asc(key), F.xxhash64(*columns)]
-    return context_of_sample(top_k_per_group(posts.select(*columns), [by], order, n), by)
+    ties = [F.xxhash64(*columns)]
+    sample = late_top_k_per_group(dated, by, ["_at", key], order, ties, n, found_by=[key])
+    return context_of_sample(sample, by)
 
 
 def joint_context(contexts: DataFrame, groups: Sequence[str], by: str = "subreddit") -> DataFrame:
@@ -73,11 +77,10 @@ def joint_contexts(
     """The CSV texts of all groups, by name, under one header per page: ``(page, n_rows, context)``.
 
     A page holds ``groups_per_page`` groups, so that a row is bounded however
-    many groups there are. Only the names are ordered as a whole.
+    many groups there are. Only the names are ordered, by ranges.
     """
-    names = contexts.select(by).distinct()
-    place = F.row_number().over(W.orderBy(F.asc_nulls_first(by))) - 1
-    placed = contexts.join(names.select(F.col(by).alias("_name"), place.alias("p")), F.col(by).eqNullSafe(F.col("_name")))
+    names = numbered(contexts, by, "p").withColumnRenamed(by, "_name")
+    placed = contexts.join(names, F.col(by).eqNullSafe(F.col("_name")))
     rows = F.expr("substring(context, locate('\n', context) + 1)")
     picked = placed.select(
         F.floor(F.col("p") / groups_per_page).alias("page"),
@@ -136,8 +139,8 @@ def render_transcripts(
     Every role but ``user`` is labelled as the assistant, a missing one as the user. A page covers
     ``page_turns`` consecutive turns, so the text of a very long conversation
     continues on further rows instead of growing without bound. Messages
-    without a turn come in the order of their texts on pages of their own,
-    numbered -1, -2 and so on. A row without turn, role and text is an empty
+    without a turn come in the order of their texts on pages of ``page_turns``
+    messages of their own, numbered -1, -2 and so on. A row without turn, role and text is an empty
     conversation; one that has nothing else gets the placeholder on page 0.
     """
     label = F.when(F.coalesce(F.col(role), F.lit("user")) == "user", user_label).otherwise(assistant_label)
@@ -146,18 +149,41 @@ def render_transcripts(
     said = messages.select(
         conversation, F.col(turn).cast("bigint").alias("at"), F.when(~nothing, block).alias("line")
     )
-    ordered = said.filter("at IS NOT NULL").withColumn("page", F.floor(F.col("at") / F.lit(page_turns)))
-    number = F.row_number().over(W.partitionBy(conversation).orderBy("line"))
-    loose = said.filter("at IS NULL AND line IS NOT NULL").withColumn("at", number.cast("bigint"))
-    loose = loose.withColumn("page", -F.ceil(F.col("at") / F.lit(page_turns)))
-    empty = said.filter("line IS NULL").distinct().withColumn("page", F.lit(0).cast("bigint"))
-    collected = ordered.unionByName(loose).unionByName(empty).groupBy(conversation, "page").agg(
-        F.array_sort(F.collect_list(F.when(F.col("line").isNotNull(), F.struct("at", "line")))).alias("blocks")
+    ordered = said.filter("at IS NOT NULL AND line IS NOT NULL").select(
+        conversation, F.floor(F.col("at") / F.lit(page_turns)).alias("page"), "at", "line", F.lit(1).alias("times")
+    )
+    lines = F.flatten(F.transform("blocks", lambda x: F.array_repeat(x["line"], x["times"])))
+    shown = (
+        ordered.unionByName(_loose_pages(said, conversation, page_turns))
+        .groupBy(conversation, "page")
+        .agg(F.array_sort(F.collect_list(F.struct("at", "line", "times"))).alias("blocks"))
+        .select(conversation, "page", F.array_join(lines, "\n\n").alias("transcript"))
+    )
+    # Whether a conversation is empty takes no text.
+    silent = said.groupBy(conversation).agg(F.count("line").alias("n")).filter("n = 0")
+    nothing_said = silent.select(
+        conversation, F.lit(0).cast("bigint").alias("page"), F.lit(placeholder).alias("transcript")
+    )
+    return shown.unionByName(nothing_said)
+
+
+def _loose_pages(said: DataFrame, conversation: str, page_turns: int) -> DataFrame:
+    """The messages without a turn, by page: equal ones once, with how often they stand on the page.
+
+    Rows are numbered in the order of their texts by ranges of a conversation,
+    so that one with very many of them is spread over the tasks.
+    """
+    distinct = said.filter("at IS NULL AND line IS NOT NULL").groupBy(conversation, "line").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    last = F.col("upto")
+    first = last - F.col("n") + 1
+    pages = F.sequence(F.ceil(first / page_turns), F.ceil(last / page_turns))
+    placed = running_totals(distinct, [conversation], "line", "n").select(
+        conversation, "line", first.alias("first"), last.alias("last"), F.explode(pages).alias("p")
     )
-    lines = F.transform("blocks", lambda x: x["line"])
-    shown = F.when(F.size("blocks") > 0, F.array_join(lines, "\n\n"))
-    pages = W.partitionBy(conversation)
-    kept = collected.withColumn("shown", shown).withColumn("n_shown", F.count("shown").over(pages))
-    return kept.filter("shown IS NOT NULL OR n_shown = 0").select(
-        conversation, "page", F.coalesce("shown", F.lit(placeholder)).alias("transcript")
+    begin = F.greatest("first", (F.col("p") - 1) * page_turns + 1)
+    end = F.least("last", F.col("p") * page_turns)
+    return placed.select(
+        conversation, (-F.col("p")).alias("page"), begin.alias("at"), "line", (end - begin + 1).cast("int").alias("times")
     )

@@ -22,6 +22,7 @@ def top_k_per_group(
     k: int,
     rank: str = "rank",
     parts: int = 32,
+    part: Column | None = None,
 ) -> DataFrame:
     """The first ``k`` rows of every group by ``order``, numbered from 1 in ``rank``.
 
@@ -29,7 +30,9 @@ def top_k_per_group(
     a hot group is still ``k`` rows for every task, so the tasks are first
     merged in ``parts`` bundles and only the winners of the bundles meet in
     one task. Where that has little to cut, with many small groups or after an
-    aggregation, ``parts=0`` saves the extra shuffle.
+    aggregation, ``parts=0`` saves the extra shuffle. A bundle takes whole
+    tasks, or rows by the number ``part`` where the plan must not depend on
+    the tasks.
     """
     by = list(by)
     for key in by:
@@ -37,7 +40,7 @@ def top_k_per_group(
     if parts:
         bundle = W.partitionBy(*by, _PART).orderBy(*order)
         df = (
-            df.withColumn(_PART, F.spark_partition_id() % parts)
+            df.withColumn(_PART, (F.spark_partition_id() if part is None else part) % parts)
             .withColumn(rank, F.row_number().over(bundle))
             .filter(F.col(rank) <= k)
             .drop(_PART, rank)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from murmura.functions import hour_bucket, number, utc
+from murmura.operators.order import numbered
 
 
 def _hourly(df: DataFrame, ts: str, by: Sequence[str]) -> DataFrame:
@@ -57,8 +58,8 @@ def daily_volume_matrix(
 
     Naming the ``groups`` saves the job that finds them; the rows of all
     others are counted in the column ``other``. Without names Spark refuses
-    more than ``spark.sql.pivotMaxValues`` groups; ``daily_volume`` has no
-    such bound.
+    more than ``spark.sql.pivotMaxValues`` groups; ``daily_volume`` and
+    ``daily_volume_pages`` have no such bound.
     """
     daily = daily_volume(df, ts, by)
     if groups is not None:
@@ -68,3 +69,28 @@ def daily_volume_matrix(
         daily, groups = daily.withColumn(by, named), [*groups, "other"]
     # Pivot the small per-day counts, so that the source is aggregated once.
     return daily.groupBy("day").pivot(by, groups).agg(F.sum("n")).na.fill(0)
+
+
+def daily_volume_pages(
+    df: DataFrame, ts: str, by: str = "subreddit", groups_per_page: int = 100
+) -> DataFrame:
+    """The matrix for any number of groups: ``(page, day, groups, n)``, no pivot and no job before it runs.
+
+    Pages hold ``groups_per_page`` groups in the order of their names, the
+    same in every row of a page; ``n`` are their rows of the day, 0 where a
+    group has none. A day is on the pages whose groups have rows that day.
+    """
+    daily = daily_volume(df, ts, by)
+    places = numbered(daily, by).select(
+        by,
+        F.floor(F.col("place") / groups_per_page).alias("page"),
+        (F.col("place") % groups_per_page).cast("int").alias("slot"),
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("slot", by)))
+    pages = places.groupBy("page").agg(F.transform(ordered, lambda x: x[by]).alias("groups"))
+    cells = daily.join(places, by).groupBy("page", "day").agg(
+        F.map_from_entries(F.collect_list(F.struct("slot", "n"))).alias("cells")
+    )
+    slots = F.sequence(F.lit(0), F.size("groups") - 1)
+    n = F.transform(slots, lambda slot: F.coalesce(F.col("cells")[slot], F.lit(0)))
+    return cells.join(pages, "page").select("page", "day", "groups", n.alias("n"))
