@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from murmura.functions import number
+from murmura.operators.sketches import bracketed_quantiles
 from murmura.operators.skew import with_group_row
+from murmura.sources.scratch import stage
 
 _QUARTILES = (0.0, 0.25, 0.5, 0.75, 1.0)
 
@@ -144,20 +146,40 @@ def exact_quantiles(
     return found.selectExpr(*_names(by), "total", f"array({', '.join(q)}) AS q")
 
 
-def _box(df: DataFrame, value: str, by: Sequence[str], **cutting: int) -> DataFrame:
+def quantiles(
+    df: DataFrame, value: str, by: Sequence[str], probs: Sequence[float], k: int | None = None
+) -> DataFrame:
+    """Exact quantiles with linear interpolation, as ``(*by, total, q)``, by way of sketches of size ``k``.
+
+    Groups and values are stored first, so ``df`` is read once.
+    """
+    size = {"k": k} if k else {}
+    return bracketed_quantiles(stage(_values(df, value, by), "values"), by, probs, **size)
+
+
+def _box(values: DataFrame, by: Sequence[str], store: bool, **cutting: int) -> DataFrame:
     names = ("low", "q1", "median", "q3", "high")
-    quartiles = exact_quantiles(df, value, by, _QUARTILES, **cutting)
+    if store:
+        quartiles = bracketed_quantiles(values, by, _QUARTILES, **cutting)
+    else:
+        quartiles = exact_quantiles(values, "v", by, _QUARTILES, **cutting)
     return quartiles.selectExpr(
         *_names(by), "total AS n_total", *[f"q[{i}] AS {name}" for i, name in enumerate(names)]
     )
 
 
+def _read_once(df: DataFrame, value: str, by: Sequence[str], store: bool) -> DataFrame:
+    """Groups and values, stored in the shared folder if wanted."""
+    values = _values(df, value, by)
+    return stage(values, "values") if store else values
+
+
 def _with_fences(
-    df: DataFrame, value: str, by: Sequence[str], reach: float, **cutting: int
+    values: DataFrame, by: Sequence[str], reach: float, store: bool, **cutting: int
 ) -> DataFrame:
     """Values with the quartiles of their group, and whether they lie beyond the fences."""
-    box = _box(df, value, by, **cutting)
-    fenced = _with_summary(_values(df, value, by).filter("v IS NOT NULL"), box, by)
+    box = _box(values, by, store, **cutting)
+    fenced = _with_summary(values.filter("v IS NOT NULL"), box, by)
     low = f"q1 - {float(reach)}D * (q3 - q1)"
     high = f"q3 + {float(reach)}D * (q3 - q1)"
     return fenced.withColumns(
@@ -174,6 +196,7 @@ def box_stats(
     by: Sequence[str] = ("subreddit",),
     whisker: str = "minmax",
     reach: float = 1.5,
+    store: bool = False,
     **cutting: int,
 ) -> DataFrame:
     """Box-plot figures per group.
@@ -181,19 +204,25 @@ def box_stats(
     ``minmax`` draws the whiskers to the extremes. ``tukey`` draws them to the
     furthest value within ``reach`` inter-quartile ranges of the box and
     counts the rows beyond as outliers; that takes one more pass over the
-    values, with partial aggregates only. ``cutting`` goes to
-    ``exact_quantiles``.
+    values, with partial aggregates only.
+
+    ``store`` reads ``df`` once: groups and values are stored in the shared
+    folder and read twice from there, by way of sketches (see ``sketches``).
+    Without, no job runs yet, but ``df`` is read several times. ``cutting``
+    goes to ``bracketed_quantiles`` or ``exact_quantiles``.
     """
+    if whisker not in ("minmax", "tukey"):
+        raise ValueError(f"whisker must be 'minmax' or 'tukey', not {whisker!r}")
+    by = list(by)
+    values = _read_once(df, value, by, store)
     if whisker == "minmax":
-        return _box(df, value, by, **cutting).withColumnsRenamed(
+        return _box(values, by, store, **cutting).withColumnsRenamed(
             {"n_total": "n", "low": "whisker_low", "high": "whisker_high"}
         )
-    if whisker != "tukey":
-        raise ValueError(f"whisker must be 'minmax' or 'tukey', not {whisker!r}")
     # An interpolated quartile may lie beyond every value inside the fence,
     # and then the whisker ends at the box.
     return (
-        _with_fences(df, value, by, reach, **cutting)
+        _with_fences(values, by, reach, store, **cutting)
         .groupBy(*by, "n_total", "q1", "median", "q3")
         .agg(
             F.expr("min(if(beyond_low, null, v))").alias("least"),
@@ -218,10 +247,13 @@ def box_outliers(
     value: str = "sentiment",
     by: Sequence[str] = ("subreddit",),
     reach: float = 1.5,
+    store: bool = False,
     **cutting: int,
 ) -> DataFrame:
     """The values beyond the Tukey fences with their number of rows."""
-    beyond = _with_fences(df, value, by, reach, **cutting).filter("beyond_low OR beyond_high")
+    by = list(by)
+    values = _read_once(df, value, by, store)
+    beyond = _with_fences(values, by, reach, store, **cutting).filter("beyond_low OR beyond_high")
     return beyond.groupBy(*by, F.col("v").alias(value)).agg(F.count(F.lit(1)).alias("n"))
 
 
