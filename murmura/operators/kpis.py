@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from murmura.functions import is_negative, is_neutral, is_positive, number
 
 
+STATS_VALUES = ("score", "sentiment", "num_comments")
+
+
 def _rows() -> Column:
     return F.count(F.lit(1))
 
@@ -28,8 +31,29 @@ def group_stats(df: DataFrame, by: str = "subreddit", plain_names: bool = True)
     readers that quote Spark's generated names.
     """
     label = "avg_{}" if plain_names else "avg({})"
-    values = ("score", "sentiment", "num_comments")
-    return df.groupBy(by).agg(*[_mean(df, v).alias(label.format(v)) for v in values])
+    return df.groupBy(by).agg(*[_mean(df, v).alias(label.format(v)) for v in STATS_VALUES])
+
+
+def stats_states(df: DataFrame, by: str = "subreddit") -> DataFrame:
+    """What the means of ``group_stats`` are made of: a sum and a count per group and value.
+
+    States of parts of a table, such as the runs of a job, add up, so the
+    statistics of all runs need no look at earlier posts.
+    """
+    parts = []
+    for value in STATS_VALUES:
+        known = number(df, value) if value in df.columns else F.lit(None)
+        parts.append(F.sum(known.cast("double")).alias(f"{value}_sum"))
+        parts.append(F.count(known).alias(f"{value}_n"))
+    return df.groupBy(by).agg(*parts)
+
+
+def stats_of_states(states: DataFrame, by: str = "subreddit") -> DataFrame:
+    """``group_stats`` of everything that the states were taken of."""
+    means = [
+        F.try_divide(F.sum(f"{value}_sum"), F.sum(f"{value}_n")).alias(f"avg_{value}") for value in STATS_VALUES
+    ]
+    return states.groupBy(by).agg(*means)
 
 
 def mean_ranking(stats: DataFrame, value: str = "avg_sentiment", by: str = "subreddit") -> DataFrame:

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from murmura.functions import keyword_sentiment
-from murmura.operators.kpis import group_stats
+from murmura.operators.kpis import stats_of_states, stats_states
 from murmura.operators.scoring import (
     Scorer,
     lexicon_scorer,
@@ -18,6 +18,7 @@ from murmura.operators.scoring import (
     process_posts,
     read_lexicon,
 )
+from murmura.schemas import STATS_STATES
 from murmura.session import tune
 from murmura.sources.landing import read_comments, read_posts
 from murmura.sources.tables import CatalogStore, FolderStore, JdbcStore
@@ -45,8 +46,9 @@ def run_job(
     """Process the landing folder's ``posts.csv`` and ``comments.csv`` into ``store``.
 
     Posts and comments are appended, statistics of this run's posts replace
-    the earlier ones. Statistics and row counts read the columns just written,
-    so that texts are parsed and scored once. Posts and comments are
+    the earlier ones. What the statistics are made of is appended as well, so
+    that ``cumulative_stats`` has those of all runs. Statistics and row counts
+    read the columns just written, so that texts are parsed and scored once. Posts and comments are
     independent: no posts does not mean no comments. Errors surface to the
     caller.
 
@@ -64,7 +66,8 @@ def run_job(
     else:
         rows = sorted_rows(process_posts(posts, scorer, int_mode=int_mode))
         written = store.append(rows, "posts", run)
-        store.replace(group_stats(written), "stats")
+        states = store.append(stats_states(written), "stats_states", run)
+        store.replace(stats_of_states(states), "stats")
         n_posts = written.count()
     comments = read_comments(spark, f"{landing}/comments.csv")
     if comments.isEmpty():
@@ -75,6 +78,16 @@ def run_job(
     return JobResult(n_posts, n_comments)
 
 
+def cumulative_stats(store: Store) -> DataFrame:
+    """Mean score, sentiment and comment count per group over all runs.
+
+    Adds up a few numbers per run and group; no post is read again. A repeated
+    run has replaced its own numbers, and as runs are only ever added, a
+    reader never finds the statistics missing.
+    """
+    return stats_of_states(store.read("stats_states", STATS_STATES))
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=run_job.__doc__.splitlines()[0])
     parser.add_argument("landing", help="folder with posts.csv and comments.csv")

@@ -34,3 +34,12 @@ STATS = T.StructType(
         T.StructField("avg_num_comments", T.DoubleType()),
     ]
 )
+# Per run: what the means of STATS are made of.
+STATS_STATES = T.StructType(
+    [T.StructField("subreddit", T.StringType())]
+    + [
+        field
+        for value in ("score", "sentiment", "num_comments")
+        for field in (T.StructField(f"{value}_sum", T.DoubleType()), T.StructField(f"{value}_n", T.LongType()))
+    ]
+)
