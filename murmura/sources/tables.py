@@ -60,6 +60,15 @@ class FolderStore:
             raise
         return found.drop(_RUN)
 
+    def read_run(self, table: str, run: str, schema: StructType) -> DataFrame:
+        """The rows of one run; none if there is no such run."""
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self._path(table)}/{_RUN}={_run_name(run)}")
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return self.spark.createDataFrame([], schema)
+            raise
+
     def reset(self, schemas: Mapping[str, StructType]) -> None:
         for table, schema in schemas.items():
             self.replace(self.spark.createDataFrame([], schema), table)
