@@ -51,11 +51,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts as far as the text alone tells: no time, score or author.
 
-    The test tables are single row groups, which one task reads; the rows are
-    dealt out so that all cores work on the texts.
+    A table of one file split, as the small test tables are, would be read by
+    one task; its rows are dealt out so that all cores work on the texts. A
+    table of more splits is read as it is.
     """
-    cores = spark.sparkContext.defaultParallelism
-    raw = table(spark, sf_dir, "documents").repartition(cores).select(
+    dealt = table(spark, sf_dir, "documents")
+    if dealt.select("doc_id").rdd.getNumPartitions() == 1:
+        dealt = dealt.repartition(spark.sparkContext.defaultParallelism)
+    raw = dealt.select(
         F.col("doc_id").alias("id"),
         F.concat_ws(" ", "source", "doc_id").alias("title"),
         F.col("text").alias("body"),

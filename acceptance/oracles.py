@@ -409,3 +409,28 @@ ORACLES["box_minmax_in_ranges"] = _boxes("(SELECT * FROM events WHERE event_id %
 ORACLES["box_tukey_in_ranges"] = ORACLES["box_tukey"].replace(
     "FROM events", "FROM (SELECT * FROM events WHERE event_id % 7 <> 0)"
 )
+ORACLES["deciles"] = """
+    WITH found AS (
+        SELECT count(value) AS total, quantile_cont(value, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1]) AS q
+        FROM events)
+    SELECT total, unnest(range(11))::INTEGER AS decile, round(round(unnest(q), 9), 6) AS value FROM found"""
+ORACLES["colocated_comment_kpis"] = ORACLES["comment_kpis"]
+ORACLES["colocated_cohort"] = f"""WITH {COMMENTS}
+    SELECT id, post_id, author, score FROM comments
+    WHERE post_id IN (SELECT doc_id FROM documents WHERE source = 'src1')"""
+ORACLES["daily_pages"] = f"""WITH {POSTS}, daily AS (
+        SELECT created_utc::DATE AS day, subreddit, count(*) AS n FROM posts WHERE subreddit IS NOT NULL GROUP BY ALL
+    ), place AS (
+        SELECT subreddit, (row_number() OVER (ORDER BY subreddit) - 1) // 7 AS page
+        FROM (SELECT DISTINCT subreddit FROM daily)
+    ), cell AS (
+        SELECT page, day, subreddit FROM place, (SELECT DISTINCT day FROM daily)
+    )
+    SELECT page, day, string_agg(subreddit, ',' ORDER BY subreddit) AS groups,
+        string_agg(coalesce(n, 0)::VARCHAR, ',' ORDER BY subreddit) AS n
+    FROM cell LEFT JOIN daily USING (day, subreddit) GROUP BY page, day HAVING sum(n) > 0"""
+ORACLES["cumulative_statistics"] = ORACLES["group_stats"]
+ORACLES["newest_by_runs"] = f"""WITH {POSTS}
+    SELECT id, subreddit, title, created_utc FROM (
+        SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY created_utc DESC, id) AS place
+        FROM posts WHERE subreddit IS NOT NULL) WHERE place <= 6"""

@@ -26,7 +26,7 @@ from murmura.operators.scoring import (
     with_clean_text,
     with_sentiment,
 )
-from murmura.plans.job import run_job
+from murmura.plans.job import cumulative_stats, run_job
 from murmura.sources.landing import (
     combine_landings,
     in_groups,
@@ -36,6 +36,7 @@ from murmura.sources.landing import (
     write_landing,
 )
 from murmura.schemas import POSTS
+from murmura.sources.colocated import write_colocated
 from murmura.sources.scratch import fresh_path
 from murmura.sources.tables import (
     FolderStore,
@@ -46,7 +47,7 @@ from murmura.sources.tables import (
     run_sql,
     table_or_empty,
 )
-from murmura.streaming import landing_stream
+from murmura.streaming import landing_stream, newest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -250,28 +251,43 @@ def daily_matrix_of_two(spark, d):
     return trends.daily_volume_matrix(events, "ts", "event_type", ["click", "view"])
 
 
+@query
+def daily_pages(spark, d):
+    """The matrix over all communities, a few to a page."""
+    pages = trends.daily_volume_pages(b.posts(spark, d), "created_utc", groups_per_page=7)
+    said = F.array_join(F.transform("n", lambda n: n.cast("string")), ",")
+    return pages.select("page", "day", F.array_join("groups", ",").alias("groups"), said.alias("n"))
+
+
 # --- distributions ---------------------------------------------------------
 
 
 @query
 def box_minmax(spark, d):
-    return distributions.box_stats(b.table(spark, d, "events"), "value", ["event_type"])
+    return distributions.box_stats(b.table(spark, d, "events"), "value", ["event_type"], store=True)
 
 
 @query
 def box_tukey(spark, d):
     events = b.table(spark, d, "events")
-    return distributions.box_stats(events, "value", ["event_type"], whisker="tukey")
+    return distributions.box_stats(events, "value", ["event_type"], whisker="tukey", store=True)
 
 
 @query
 def box_outliers(spark, d):
-    return distributions.box_outliers(b.table(spark, d, "events"), "value", ["event_type"])
+    return distributions.box_outliers(b.table(spark, d, "events"), "value", ["event_type"], store=True)
+
+
+@query
+def deciles(spark, d):
+    """All eleven, over all events and by way of small sketches."""
+    found = distributions.quantiles(b.table(spark, d, "events"), "value", [], [i / 10 for i in range(11)], k=64)
+    return found.select("total", F.posexplode("q").alias("decile", "value"))
 
 
 @query
 def sentiment_boxes(spark, d):
-    return distributions.box_stats(b.documents(spark, d))
+    return distributions.box_stats(b.documents(spark, d), store=True)
 
 
 CUTTING = {"lots": 64, "per_range": 100}
@@ -441,6 +457,29 @@ def comment_kpis(spark, d):
     return cohorts.comment_kpis(b.documents(spark, d), b.comments(spark, d))
 
 
+def _colocated(spark, d):
+    """Posts and comments as catalog tables, both laid out by post id."""
+    path = fresh_path(spark, "colocated")
+    name = f"murmura_{path[-32:]}"
+    own = b.documents(spark, d).select("id", "subreddit")
+    replies = b.comments(spark, d).drop("body", "clean_body")
+    return (
+        write_colocated(own, f"{name}_posts", "id", 8, f"{path}/posts"),
+        write_colocated(replies, f"{name}_comments", "post_id", 8, f"{path}/comments"),
+    )
+
+
+@query
+def colocated_comment_kpis(spark, d):
+    return cohorts.comment_kpis(*_colocated(spark, d))
+
+
+@query
+def colocated_cohort(spark, d):
+    own, replies = _colocated(spark, d)
+    return cohorts.cohort_comments(own.filter(in_groups("src1")), replies).select("id", "post_id", "author", "score")
+
+
 @query
 def top_comments(spark, d):
     own = b.documents(spark, d).filter(in_groups("src1"))
@@ -449,7 +488,7 @@ def top_comments(spark, d):
 
 @query
 def top_comments_per_group(spark, d):
-    return cohorts.top_comments_per_group(b.documents(spark, d), b.comments(spark, d))
+    return cohorts.top_comments_per_group(b.documents(spark, d), b.comments(spark, d), late=True)
 
 
 # --- prompts ---------------------------------------------------------------
@@ -494,6 +533,17 @@ def transcripts(spark, d):
     return prompts.render_transcripts(messages.withColumn("turn", lost), page_turns=3)
 
 
+@query
+def newest_by_runs(spark, d):
+    """The newest posts per community after four runs, of which the last is repeated; oldest posts come last."""
+    store = FolderStore(spark, fresh_path(spark, "newest"))
+    listed = b.posts(spark, d).select("id", "subreddit", "title", "created_utc")
+    runs = F.pmod(F.dayofyear("created_utc") * 7, F.lit(4))
+    for number, run in enumerate((2, 3, 0, 1, 1)):
+        newest.merge_latest(store, "newest", listed.filter(runs == run), min(number, 3), 6)
+    return newest.read_latest(store, "newest", listed.schema)
+
+
 # --- files, jobs, streams --------------------------------------------------
 
 
@@ -547,6 +597,19 @@ def batch_job(spark, d):
     return store.read("stats").join(replies, "subreddit", "left")
 
 
+@query
+def cumulative_statistics(spark, d):
+    """Two runs of the job, the second one repeated; its statistics cover all posts once."""
+    store = FolderStore(spark, fresh_path(spark, "tables"))
+    raw = _raw_posts(spark, d)
+    for run, part in (("a", raw.filter("id % 3 = 0")), ("b", raw.filter("id % 3 != 0"))):
+        landing = fresh_path(spark, "landing")
+        write_landing(part, f"{landing}/posts.csv")
+        for _ in range(1 if run == "a" else 2):
+            run_job(spark, landing, store, b.scorer, run=run)
+    return cumulative_stats(store)
+
+
 @query
 def stream_clean_posts(spark, d):
     """The batch transformation on arriving files."""
