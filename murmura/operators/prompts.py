@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from murmura.functions import csv_line, latin1_fold, utc
 from murmura.operators.late import late_top_k_per_group
@@ -133,6 +134,7 @@ def render_transcripts(
     assistant_label: str = "Assistant:",
     placeholder: str = "No messages.",
     page_turns: int = 1000,
+    spread: bool = False,
 ) -> DataFrame:
     """Ordered messages of each conversation as text, as ``(conversation, page, transcript)``.
 
@@ -154,7 +156,7 @@ def render_transcripts(
     )
     lines = F.flatten(F.transform("blocks", lambda x: F.array_repeat(x["line"], x["times"])))
     shown = (
-        ordered.unionByName(_loose_pages(said, conversation, page_turns))
+        ordered.unionByName(_loose_pages(said, conversation, page_turns, spread))
         .groupBy(conversation, "page")
         .agg(F.array_sort(F.collect_list(F.struct("at", "line", "times"))).alias("blocks"))
         .select(conversation, "page", F.array_join(lines, "\n\n").alias("transcript"))
@@ -167,11 +169,11 @@ def render_transcripts(
     return shown.unionByName(nothing_said)
 
 
-def _loose_pages(said: DataFrame, conversation: str, page_turns: int) -> DataFrame:
+def _loose_pages(said: DataFrame, conversation: str, page_turns: int, spread: bool) -> DataFrame:
     """The messages without a turn, by page: equal ones once, with how often they stand on the page.
 
-    Rows are numbered in the order of their texts by ranges of a conversation,
-    so that one with very many of them is spread over the tasks.
+    Rows are numbered in the order of their texts, with ``spread`` by ranges
+    of a conversation, so that one with very many is spread over the tasks.
     """
     distinct = said.filter("at IS NULL AND line IS NOT NULL").groupBy(conversation, "line").agg(
         F.count(F.lit(1)).alias("n")
@@ -179,7 +181,12 @@ def _loose_pages(said: DataFrame, conversation: str, page_turns: int) -> DataFra
     last = F.col("upto")
     first = last - F.col("n") + 1
     pages = F.sequence(F.ceil(first / page_turns), F.ceil(last / page_turns))
-    placed = running_totals(distinct, [conversation], "line", "n").select(
+    if spread:
+        numbered_lines = running_totals(distinct, [conversation], "line", "n")
+    else:
+        through = W.partitionBy(conversation).orderBy("line").rowsBetween(W.unboundedPreceding, W.currentRow)
+        numbered_lines = distinct.withColumn("upto", F.sum("n").over(through))
+    placed = numbered_lines.select(
         conversation, "line", first.alias("first"), last.alias("last"), F.explode(pages).alias("p")
     )
     begin = F.greatest("first", (F.col("p") - 1) * page_turns + 1)

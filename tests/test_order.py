@@ -73,7 +73,7 @@ def test_a_hot_conversation_without_turns_is_spread(spark):
     talk = spark.range(n).select(
         F.lit(1).alias("conv_id"), F.lit(None).cast("long").alias("turn"), F.lit("user").alias("role"), text.alias("text")
     )
-    said = prompts.render_transcripts(talk, page_turns=1000).collect()
+    said = prompts.render_transcripts(talk, page_turns=1000, spread=True).collect()
     assert sorted(r["page"] for r in said) == list(range(-60, 0))
     ordered = [m for r in sorted(said, key=lambda r: -r["page"]) for m in r["transcript"].split("\n\n")]
     want = sorted(["User:\nsame"] * (n // 3) + [f"User:\nt{i:08d}" for i in range(n) if i % 3])
