@@ -434,3 +434,4 @@ ORACLES["newest_by_runs"] = f"""WITH {POSTS}
     SELECT id, subreddit, title, created_utc FROM (
         SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY created_utc DESC, id) AS place
         FROM posts WHERE subreddit IS NOT NULL) WHERE place <= 6"""
+ORACLES["spread_transcripts"] = ORACLES["transcripts"]

@@ -264,13 +264,13 @@ def daily_pages(spark, d):
 
 @query
 def box_minmax(spark, d):
-    return distributions.box_stats(b.table(spark, d, "events"), "value", ["event_type"], store=True)
+    return distributions.box_stats(b.table(spark, d, "events"), "value", ["event_type"])
 
 
 @query
 def box_tukey(spark, d):
     events = b.table(spark, d, "events")
-    return distributions.box_stats(events, "value", ["event_type"], whisker="tukey", store=True)
+    return distributions.box_stats(events, "value", ["event_type"], whisker="tukey")
 
 
 @query
@@ -533,6 +533,14 @@ def transcripts(spark, d):
     return prompts.render_transcripts(messages.withColumn("turn", lost), page_turns=3)
 
 
+@query
+def spread_transcripts(spark, d):
+    """The same with turnless messages numbered by ranges."""
+    messages = b.table(spark, d, "conversations")
+    lost = F.when(F.pmod(F.col("conv_id") * 8 + F.col("turn"), F.lit(11)) != 0, F.col("turn"))
+    return prompts.render_transcripts(messages.withColumn("turn", lost), page_turns=3, spread=True)
+
+
 @query
 def newest_by_runs(spark, d):
     """The newest posts per community after four runs, of which the last is repeated; oldest posts come last."""
