@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from murmura.llm.arrays import between, let, running, text_pieces
 from murmura.llm.text import fresh_name, whole
 from murmura.sources.scratch import fresh_path
 
@@ -53,27 +54,31 @@ def rule_spans(text: Column, rule: Rule) -> Column:
     """Start and end (exclusive, code points) of the matches of a rule.
 
     The pieces between matches and the matches themselves alternate, so
-    their lengths give the places.
+    running sums of their lengths give the places.
     """
     pattern = F.lit(rule.pattern)
     matches = F.regexp_extract_all(text, pattern, F.lit(0))
     values = F.regexp_extract_all(text, pattern, F.lit(rule.group))
     gaps = F.split(text, rule.pattern, -1)
-    parts = F.arrays_zip(
-        F.transform(F.slice(gaps, 1, F.size(matches)), F.length).alias("gap"),
-        F.transform(matches, F.length).alias("size"),
-        F.transform(values, F.length).alias("value"),
+    parts = F.transform(
+        F.arrays_zip(matches.alias("match"), values.alias("value"), gaps.alias("gap")),
+        lambda part: F.struct(
+            (F.length(part["gap"]) + F.length(part["match"])).cast("long").alias("end"),
+            F.length(part["match"]).alias("size"),
+            F.length(part["value"]).alias("value"),
+        ),
+    )
+    places = running(
+        parts,
+        lambda before, part: F.struct(
+            (before["end"] + part["end"]).alias("end"), part["size"].alias("size"), part["value"].alias("value")
+        ),
+    )
+    # What follows the last match has no match of its own and is dropped here, too.
+    found = F.transform(
+        F.filter(places, lambda part: part["value"] >= rule.least),
+        lambda part: F.struct((part["end"] - part["size"]).alias("start"), part["end"].alias("end")),
     )
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("spans"))
-
-    def step(acc: Column, part: Column) -> Column:
-        begin = acc["at"] + part["gap"]
-        end = begin + part["size"]
-        span = F.array(F.struct(begin.alias("start"), end.alias("end")))
-        spans = F.when(part["value"] >= rule.least, F.concat(acc["spans"], span)).otherwise(acc["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
-
-    found = F.aggregate(parts, start, step, lambda acc: acc["spans"])
     possible = text.contains(rule.needs) & text.rlike(rule.pattern) if rule.needs else text.rlike(rule.pattern)
     return F.when(possible, found).otherwise(F.array().cast(SPAN))
 
@@ -168,22 +173,23 @@ def secrets(
 
 
 def redacted(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
-    """The text with every span, overlapping ones together, replaced by a mask."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, span: Column) -> Column:
-        gap = F.substring(text, (acc["at"] + 1).cast("int"), (span["start"] - acc["at"]).cast("int"))
-        clear = span["start"] >= acc["at"]
-        fresh = F.concat(acc["out"], gap, F.lit(mask))
-        return F.struct(
-            F.greatest(acc["at"], span["end"]).alias("at"),
-            F.when(clear, fresh).otherwise(acc["out"]).alias("out"),
-        )
+    """The text with every span, overlapping ones together, replaced by a mask.
 
-    rest = F.aggregate(
-        spans,
-        start,
-        step,
-        lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))),
-    )
-    return F.when(F.size(spans) > 0, rest).otherwise(text)
+    ``spans`` are sorted by start. A span that begins before an earlier one
+    has ended belongs to that one's mask. Null stays null; without spans the
+    text stays as it is.
+    """
+    ends = running(F.transform(spans, lambda s: s["end"]), lambda before, end: F.greatest(before, end))
+
+    def joined(reach: Column, pieces: Column) -> Column:
+        def part(span: Column, i: Column) -> Column:
+            before = F.coalesce(F.get(reach, i - 1), F.lit(0).cast("long"))
+            return F.when(
+                span["start"] >= before, F.concat(between(pieces, before, span["start"]), F.lit(mask))
+            )
+
+        rest = between(pieces, F.element_at(reach, -1), F.length(text).cast("long"))
+        return F.concat(F.array_join(F.transform(spans, part), ""), rest)
+
+    masked = let(ends, lambda reach: let(text_pieces(text), lambda pieces: joined(reach, pieces)))
+    return F.when(F.size(spans) > 0, masked).otherwise(text)

@@ -2,13 +2,16 @@
 
 import hashlib
 import re
+import time
 from collections import Counter
+from itertools import accumulate
 
 import pytest
 from made_texts import prose
 from pyspark.sql import functions as F
 
 from murmura.llm import mixing, quality_rules, secret_scan
+from murmura.llm.arrays import between, running, text_pieces
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -236,3 +239,33 @@ def test_redaction(spark):
                 want += row["text"][at : s["start"]] + "[SECRET]"
             at = max(at, s["end"])
         assert row["out"] == (want + row["text"][at:] if row["secrets"] else row["text"])
+
+
+def test_many_secrets_in_one_text(spark):
+    """40,000 matches in a text of a megabyte, some overlapping: exact, and far from the square of their number."""
+    parts = [f"é password=value{i:05d}{'' if i % 3 else HEX[:30]}" for i in range(40_000)]
+    text = " ".join(parts)
+    df = spark.createDataFrame([(1, text), (2, "x"), (3, None)], "doc_id long, text string")
+    begun = time.monotonic()
+    found = secret_scan.secrets(df).withColumn("out", secret_scan.redacted(F.col("text"), F.col("secrets")))
+    rows = {r["doc_id"]: r for r in found.collect()}
+    assert time.monotonic() - begun < 20
+    assert [(s["kind"], s["start"], s["end"]) for s in rows[1]["secrets"]] == base_by_hand(text)
+    want, at = [], 0
+    for kind, start, end in base_by_hand(text):
+        if start >= at:
+            want.append(text[at:start])
+        at = max(at, end)
+    assert rows[1]["out"] == "[SECRET]".join([*want, text[at:]])
+    assert (rows[2]["out"], rows[3]["out"], rows[3]["secrets"]) == ("x", None, [])
+
+
+def test_running_combinations(spark):
+    df = spark.createDataFrame([(list(range(n)),) for n in (0, 1, 2, 3, 1000)] + [(None,)], "a array<long>")
+    sums = df.select("a", running(F.col("a"), lambda x, y: x + y).alias("b")).collect()
+    assert all(r["b"] == (None if r["a"] is None else list(accumulate(r["a"]))) for r in sums)
+    text = "".join(chr(0x1F600 + i % 50) + "ab\n"[i % 3] for i in range(3000))
+    cuts = [(0, 0), (0, 1), (1023, 1025), (1024, 2048), (5, 5999), (5999, 6000), (6000, 6000)]
+    df = spark.createDataFrame([(text, *cut) for cut in cuts], "t string, x long, y long")
+    got = df.select("x", "y", between(text_pieces(F.col("t")), F.col("x"), F.col("y")).alias("part"))
+    assert all(r["part"] == text[r["x"] : r["y"]] for r in got.collect())
