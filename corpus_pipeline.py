@@ -40,8 +40,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     spans = fresh_name(docs, "secrets")
     found = secret_scan.secrets(docs, name=spans)
     masked = secret_scan.redacted(F.col("text"), F.col(spans))
-    size = F.when(F.size(spans) > 0, F.length(masked).cast("long")).otherwise(F.col("n_chars"))
-    return found.withColumns({"text": masked, "n_chars": size}).select(docs.columns)
+    size = F.when(F.size(spans) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return found.withColumn("text", masked).withColumn("n_chars", size).select(docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
