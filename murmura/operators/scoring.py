@@ -85,6 +85,40 @@ def lexicon_sentiment(
     return with_sentiment(df, lexicon_scorer(lexicon), text)
 
 
+def polarity_sentiment(df: DataFrame, lexicon: DataFrame, text: str = "clean_body") -> DataFrame:
+    """``df`` with ``sentiment`` from a lexicon of any size, a table of word and polarity.
+
+    The same scores as ``lexicon_sentiment``, by joins instead of a Python
+    look-up. A score depends on the text alone, so it is worked out per text:
+    each text's words are counted in their row, joined with the lexicon, which
+    Spark broadcasts below its own threshold, and summed by a hash of the text.
+    A text's words come one after another, so its sums are complete before
+    they are shuffled: a hash and two numbers each. The scores are joined back
+    by that hash; columns of ``df`` that nobody asks for do not travel.
+
+    Words are not a hot key: beyond the threshold adaptive execution splits a
+    frequent one, as it does a text with many copies. Rows of the lexicon
+    without word or polarity count for nothing, equal words are averaged, and
+    a text without lexicon words, an empty or a missing one scores 0.
+    """
+    listed = lexicon.filter("word IS NOT NULL AND polarity IS NOT NULL AND NOT isnan(polarity)")
+    # Dependent keys give the joins exchanges of their own, so that hot keys can be split (see ``skew.per_key``).
+    listed = listed.groupBy("word", F.hash("word").alias("_dependent")).agg(
+        F.avg(F.col("polarity").cast("double")).alias("_polarity")
+    )
+    body = F.coalesce(F.col(text), F.lit(""))
+    key = F.sha2(body, 256)
+    found = df.select(key.alias("_text"), F.explode(tokens(body)).alias("word"))
+    hits = found.join(listed.drop("_dependent"), "word")
+    scores = hits.groupBy("_text", F.hash("_text").alias("_dependent")).agg(
+        F.avg("_polarity").alias("_mean")
+    )
+    rows = df.drop("sentiment").withColumn("_text", key)
+    scored = rows.join(scores.drop("_dependent"), "_text", "left")
+    mean = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.coalesce("_mean", F.lit(0.0))))
+    return scored.withColumn("sentiment", mean).drop("_text", "_mean")
+
+
 def read_lexicon(spark: SparkSession, path: str, max_words: int = 1_000_000) -> dict[str, float]:
     """A lexicon from a CSV file with the columns word and polarity.
 
