@@ -622,7 +622,7 @@ def cumulative_statistics(spark, d):
 def stream_clean_posts(spark, d):
     """The batch transformation on arriving files."""
     schema = b.table(spark, d, "documents").schema
-    arriving = landing_stream.stream_table(spark, d, schema, "documents.parquet")
+    arriving = landing_stream.stream_named_table(spark, d, schema, "documents.parquet")
     raw = arriving.select(
         F.col("doc_id").alias("id"),
         F.col("text").alias("body"),
@@ -630,8 +630,9 @@ def stream_clean_posts(spark, d):
         F.col("source").alias("num_comments"),
     )
     folder = fresh_path(spark, "stream")
-    landing_stream.catch_up(process_posts(raw, b.scorer), f"{folder}/posts", f"{folder}/progress")
-    return spark.read.parquet(f"{folder}/posts").select("id", "clean_body", "sentiment", "score")
+    posts = process_posts(raw, b.scorer)
+    landing_stream.catch_up(posts, f"{folder}/posts", f"{folder}/progress")
+    return spark.read.schema(posts.schema).parquet(f"{folder}/posts").select("id", "clean_body", "sentiment", "score")
 
 
 @query
@@ -739,7 +740,7 @@ def statistics_of_nothing(spark, d):
 def stream_hourly_volume(spark, d):
     """Partial counts per micro-batch, added up on reading: all hours, open ones too."""
     schema = b.table(spark, d, "events").schema
-    arriving = landing_stream.stream_table(spark, d, schema, "events.parquet")
+    arriving = landing_stream.stream_named_table(spark, d, schema, "events.parquet")
     folder = fresh_path(spark, "stream")
     store = FolderStore(spark, f"{folder}/tables")
     landing_stream.catch_up_runs(

@@ -29,6 +29,17 @@ def stream_table(
     return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(path)
 
 
+def stream_named_table(spark: SparkSession, folder: str, schema: StructType, name: str) -> DataFrame:
+    """New Parquet files of one table of a folder, which may be a file or itself a folder of files.
+
+    A stream takes a file only by a glob; ``basePath`` keeps the partition
+    columns that folders below the table stand for.
+    """
+    folder = folder.rstrip("/")
+    last = f"{name[:-1]}[{name[-1]}]"
+    return spark.readStream.schema(schema).option("basePath", folder).parquet(f"{folder}/{last}")
+
+
 def hourly_counts(batch: DataFrame, ts: str, by: str) -> DataFrame:
     """Rows per hour and group of one micro-batch."""
     return hourly_volume(batch, ts, [by])

@@ -1,7 +1,9 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
+from acceptance.queries import QUERIES
 from murmura.operators.ranking import dedupe_by_id
 from murmura.operators.scoring import process_posts
 from murmura.schemas import POSTS_RAW
@@ -63,3 +65,45 @@ def test_hours_of_files_that_land_last_are_counted(spark, tmp_path, rows):
 
     assert arrive("05:10", "05:50") == [(hour(5), "a", 2)]
     assert arrive("00:59", "05:30") == [(hour(0), "a", 1), (hour(5), "a", 3)]
+
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
+
+def as_file(df, path):
+    df.toPandas().to_parquet(path, coerce_timestamps="us")
+
+
+@pytest.mark.parametrize("parts", [0, 1, 3])
+def test_streams_read_a_table_that_is_a_file_or_a_folder_of_files(spark, tmp_path, rows, parts):
+    texts = [(i, f"one {w}", "en", "7", 8) for i, w in enumerate(["with", "that", "none", None, "with"])]
+    times = [(i, datetime(2024, 1, 1, i % 2, i), 1, "a", 0.5, "") for i in range(5)]
+    for name, made, schema in (("documents", texts, DOCUMENTS), ("events", times, EVENTS)):
+        df, path = spark.createDataFrame(made, schema), f"{tmp_path}/{name}.parquet"
+        df.repartition(parts).write.parquet(path) if parts else as_file(df, path)
+    got = rows(QUERIES["stream_clean_posts"](spark, str(tmp_path)), "id", "sentiment", "score")
+    assert got == [(0, 0.5, 8.0), (1, -0.5, 8.0), (2, 0.0, 8.0), (3, 0.0, 8.0), (4, 0.5, 8.0)]
+    hours = QUERIES["stream_hourly_volume"](spark, str(tmp_path))
+    assert [r[1:] for r in rows(hours, "hour_start", "event_type", "n")] == [("a", 3), ("a", 2)]
+
+
+def test_a_stream_of_an_empty_table_is_empty(spark, tmp_path):
+    spark.createDataFrame([], DOCUMENTS).write.parquet(f"{tmp_path}/documents.parquet")
+    assert QUERIES["stream_clean_posts"](spark, str(tmp_path)).collect() == []
+
+
+def test_a_named_table_keeps_its_partitions_and_takes_each_file_once(spark, tmp_path, rows):
+    folder, schema = str(tmp_path / "day=9"), "id long, day int"
+
+    def run():
+        arriving = s.stream_named_table(spark, folder, spark.createDataFrame([], schema).schema, "t.parquet")
+        s.catch_up(arriving, str(tmp_path / "out"), str(tmp_path / "progress"))
+        return rows(spark.read.parquet(str(tmp_path / "out")), "id", "day")
+
+    df = spark.createDataFrame([(1, 1), (2, 2)], schema)
+    df.write.partitionBy("day").parquet(f"{folder}/t.parquet")
+    df.write.parquet(f"{folder}/other.parquet")
+    assert run() == run() == [(1, 1), (2, 2)]
+    spark.createDataFrame([(3, 2)], schema).write.mode("append").partitionBy("day").parquet(f"{folder}/t.parquet")
+    assert run() == [(1, 1), (2, 2), (3, 2)]
