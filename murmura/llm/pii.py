@@ -7,6 +7,7 @@ import zlib
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from itertools import accumulate
+from math import isqrt
 
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
@@ -14,11 +15,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmura.llm.sampling import bounded_sample
 from murmura.llm.text import join_same
 from murmura.sources.scratch import stage
 
-MAX_TRAINING = 20_000
 MAX_TREES = 20
 PRECISION = 0.95
 KINDS = ("email", "ip", "card", "phone", "other")
@@ -246,12 +245,18 @@ def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _model(fit: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """What adds a score to rows with features; with one class only, every row scores as that."""
-    classes = [row["label"] for row in fit.select("label").distinct().collect()]  # at most two
-    if len(classes) < 2:
-        return lambda df: df.withColumn("score", F.lit(max(classes, default=0.0)))
+    """What adds a score to rows with features; with one class only, every row scores as that.
+
+    A row of ``fit`` counts as often as its ``weight`` says.
+    """
+    sizes = {row["label"]: row["count"] for row in fit.groupBy("label").count().collect()}  # at most two
+    if len(sizes) < 2:
+        return lambda df: df.withColumn("score", F.lit(max(sizes, default=0.0)))
     vector = array_to_vector("features").alias("features")
-    model = GBTClassifier(maxIter=MAX_TREES, maxDepth=3, seed=7).fit(fit.select("label", vector))
+    # Spark ML looks for places to split in a sample of max(10,000, maxBins ** 2) rows; so it takes all of them.
+    bins = max(32, isqrt(sum(sizes.values())) + 1)
+    trees = GBTClassifier(maxIter=MAX_TREES, maxDepth=3, maxBins=bins, seed=7, weightCol="weight")
+    model = trees.fit(fit.select("label", "weight", vector))
 
     def scored(df: DataFrame) -> DataFrame:
         out = model.transform(df.withColumn("features", vector))
@@ -260,32 +265,32 @@ def _model(fit: DataFrame) -> Callable[[DataFrame], DataFrame]:
     return scored
 
 
-def chosen(candidates: DataFrame, max_training: int = MAX_TRAINING) -> DataFrame:
+def chosen(candidates: DataFrame) -> DataFrame:
     """The candidates beyond the base rules that the trees hold for personal data.
 
-    Trained on at most ``max_training`` labelled candidates with the least
-    hash: see ``candidates_of`` for the labels, which say what a span was
-    before it was rewritten, not what the base rules find in it. Each form has
-    its own trees. Half of the texts fit them, the other half sets their
-    threshold: the least score of 0.5 or more from which on ``PRECISION`` of
-    the labelled spans are positive. A form without positives there is not
-    chosen, and one without examples against it is chosen whole.
+    Trained on all labelled candidates: see ``candidates_of`` for the labels,
+    which say what a span was before it was rewritten, not what the base rules
+    find in it. Those with the same features count as one with a weight, so
+    the trees walk over different features only, however many texts have them.
+    Each form has its own trees. Half of the texts fit them, the other half
+    sets their threshold: the least score of 0.5 or more from which on
+    ``PRECISION`` of the labelled spans are positive. A form without positives
+    there is not chosen, and one without examples against it is chosen whole.
     """
-    lot = F.xxhash64("doc_id", "version", "start", "end")
     known = candidates.filter("label IS NOT NULL").withColumn("label", F.col("label").cast("double"))
-    sample = bounded_sample(known, max_training, lot, "doc_id", "version", "start", "end", "form", "label")
-    half = F.pmod(F.xxhash64("version"), F.lit(2))
-    sample = stage(sample.select("label", "form", half.alias("half"), "features"), "pii_sample")
+    alike = ["form", F.pmod(F.xxhash64("version"), F.lit(2)).alias("half"), "label", "features"]
+    weighed = known.groupBy(*alike).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    examples = stage(weighed.sortWithinPartitions("form", "half", "label", "features"), "pii_examples")
     more = candidates.limit(0).withColumn("score", F.lit(0.0)).select("doc_id", "version", "start", "end", "score")
     for form in FORMS:
-        own = sample.filter(F.col("form") == form)
+        own = examples.filter(F.col("form") == form)
         scored = _model(own.filter("half = 0"))
         step = F.floor(F.col("score") * 100).cast("int")
         bins = scored(own.filter("half = 1")).groupBy(step.alias("step")).agg(
-            F.count(F.lit(1)).alias("n"), F.sum("label").alias("good")
+            F.sum("weight").alias("n"), F.sum(F.col("label") * F.col("weight")).alias("good")
         )
         seen = {row["step"]: row for row in bins.collect()}  # at most 101 bins
-        threshold, n, good = None, 0, 0.0
+        threshold, n, good = None, 0.0, 0.0
         for at in range(100, 49, -1):
             if row := seen.get(at):
                 n, good = n + row["n"], good + row["good"]
@@ -297,7 +302,7 @@ def chosen(candidates: DataFrame, max_training: int = MAX_TRAINING) -> DataFrame
     return more
 
 
-def personal_data(docs: DataFrame, max_training: int = MAX_TRAINING) -> DataFrame:
+def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, version (hash of the text) and spans (kind, start, end) of every row of ``docs``.
 
     Spans of the base rules always stay; spans of kind ``other`` are chosen
@@ -310,7 +315,7 @@ def personal_data(docs: DataFrame, max_training: int = MAX_TRAINING) -> DataFram
     rows = stage(slim.mapInArrow(_propose, _DDL), "pii")
     key = ["doc_id", "version"]
     each = rows.filter("size(loose) > 0").select(*key, F.explode("loose").alias("c")).select(*key, "c.*")
-    more = chosen(stage(each.dropDuplicates([*key, "form", "label", "start", "end"]), "pii_candidates"), max_training)
+    more = chosen(stage(each.dropDuplicates([*key, "form", "label", "start", "end"]), "pii_candidates"))
     added = more.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("more"))
     joined = join_same(rows.drop("loose"), added, key, "left")
     first = F.array().cast("array<struct<start:long,end:long>>")

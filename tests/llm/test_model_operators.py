@@ -125,6 +125,47 @@ def test_trees_choose_hinted_forms_beyond_the_base_rules(spark):
     assert sum(bool(got[i]) for i in plain) <= 0.05 * len(plain)
 
 
+def labelled(spark, n):
+    """Labelled numbers of ``n`` texts, of few different features."""
+    rows = spark.range(n).selectExpr(
+        "id AS doc_id", "xxhash64(id) AS version", "'number' AS form", "CAST(id % 2 AS int) AS label", "0L AS start",
+        "9L AS `end`", "transform(sequence(0, 19), i -> CAST(id % 14 + i AS double)) AS features",
+    )
+    return rows.unionByName(rows.filter("label = 0").limit(7).withColumn("label", F.lit(None).cast("int")))
+
+
+def test_trees_and_thresholds_come_from_all_labelled_candidates(spark, monkeypatch):
+    seen = []
+
+    def model(fit, made=pii._model):
+        scored = made(fit)
+
+        def counted(df):
+            if "weight" in df.columns:
+                seen.append([d.agg(F.sum("weight")).first()[0] for d in (fit, df)])
+            return scored(df)
+
+        return counted
+
+    monkeypatch.setattr(pii, "_model", model)
+    df = labelled(spark, 24_000)
+    chosen = pii.chosen(df)
+    assert sum(total or 0 for pair in seen for total in pair) == 24_000
+    assert all(total is None or total > 11_000 for pair in seen for total in pair)
+    assert chosen.count() == 0  # what has no label is like those of label 0
+
+
+def test_weights_count_like_repeated_examples(spark):
+    rows = labelled(spark, 3_000).filter("label IS NOT NULL").selectExpr(
+        "CAST(IF(doc_id % 5 = 0, 1 - label, label) AS double) AS label", "features"
+    )
+    alike = rows.groupBy("label", "features").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    each = rows.withColumn("weight", F.lit(1.0))
+    one = {r["features"][0]: r["score"] for r in pii._model(alike)(alike).select("features", "score").collect()}
+    other = {r["features"][0]: r["score"] for r in pii._model(each)(each).select("features", "score").collect()}
+    assert one == pytest.approx(other) and len(set(one.values())) > 1
+
+
 def test_disguised_spans_are_proposed_and_not_base():
     base = ["joe@mail.example.com", "10.0.0.1", "4111 1111 1111 1111", "+1 (415) 555-2671", "+4930123456"]
     for span in base:
