@@ -357,11 +357,15 @@ def lexicon_scores(spark, d):
 
 @query
 def pandas_scores(spark, d):
-    """A user's scorer as a pandas UDF."""
+    """A user's scorer as a pandas UDF.
+
+    ``text.str`` ties a batch to itself in a cycle: all batches of a task would
+    stay in memory until Python's collector happens to run.
+    """
 
     @F.pandas_udf("double")
     def lines(text: pd.Series) -> pd.Series:
-        return text.str.count("\n") / 100.0
+        return text.map(lambda t: t.count("\n") / 100.0, na_action="ignore")
 
     raw = b.table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("body"))
     return with_sentiment(with_clean_text(raw), lines).select("id", "sentiment")

@@ -12,6 +12,8 @@ RUNTIME_CONF = {
     # Split a hot join key even when that costs the next operator a shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Whole texts go to Python workers, each of which holds a batch or two as Arrow and as Python strings.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 

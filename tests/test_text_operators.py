@@ -1,4 +1,6 @@
+import gc
 import re
+import weakref
 from collections import Counter
 
 import pandas as pd
@@ -6,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from acceptance import queries
 from murmura.functions import STOPWORDS
 from murmura.operators.keywords import keyword_counts, top_keywords
 from murmura.operators.scoring import (
@@ -127,3 +130,32 @@ def test_user_scorer_as_pandas_udf(spark):
 
     df = with_clean_text(spark.createDataFrame([("a!!",), (None,)], "body string"))
     assert [r["sentiment"] for r in with_sentiment(df, shout).collect()] == [2.0, 0.0]
+
+
+def test_a_scored_batch_leaves_memory_without_the_collector(spark, tmp_path, monkeypatch):
+    """Python's collector hardly runs while strings are scored, so batches in a cycle pile up in a worker."""
+    used = []
+    monkeypatch.setattr(queries, "with_sentiment", lambda df, scorer: used.append(scorer) or with_sentiment(df, scorer))
+    rows = [(1, "a\nb\nc", "", "", 5), (2, None, "", "", 0), (3, "", "", "", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["id"]: r["sentiment"] for r in queries.QUERIES["pandas_scores"](spark, str(tmp_path)).collect()}
+    assert got == {1: 0.02, 2: 0.0, 3: 0.0}
+    gc.disable()
+    try:
+        batch = pd.Series(["a\nb", None])
+        alive = weakref.ref(batch)
+        assert list(used[0].func(batch).fillna(-1)) == [0.01, -1]
+        del batch
+        assert alive() is None
+    finally:
+        gc.enable()
+
+
+def test_batches_of_texts_are_small(spark):
+    @pandas_udf("long")
+    def size(text: pd.Series) -> pd.Series:
+        return pd.Series([len(text)] * len(text))
+
+    sizes = spark.range(0, 5000, 1, 1).select(size(F.col("id").cast("string")).alias("n"))
+    assert sizes.agg(F.max("n")).first()[0] <= 1000
